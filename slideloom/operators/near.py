@@ -385,7 +385,8 @@ def _point_rows(points: DataFrame, tree: _QuadTree, distance: float) -> DataFram
 def _shape_rows(shapes: DataFrame, tree: _QuadTree) -> DataFrame:
     """Each edge of a shape as a row of the tasks whose points it may enclose."""
     point_ok = lambda p: p.isNotNull() & p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
-    rings = shapes.where(F.col("image").isNotNull() & (F.size("rings") > 0) & (F.size(F.get("rings", F.lit(0))) >= 3))
+    once = shapes.groupBy("image", "id").agg(F.min("rings").alias("rings"))  # a repeated row counts once
+    rings = once.where(F.col("image").isNotNull() & (F.size("rings") > 0) & (F.size(F.get("rings", F.lit(0))) >= 3))
     rings = rings.select("image", "id", F.posexplode("rings").alias("ring", "points"))
     rings = rings.select("image", "id", "ring", F.filter("points", point_ok).alias("p")).where(F.size("p") >= 3)
     ends = F.concat(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))), F.slice("p", 1, 1))
@@ -395,8 +396,8 @@ def _shape_rows(shapes: DataFrame, tree: _QuadTree) -> DataFrame:
     )
     boxes = rings.where("ring = 0").select(
         "image", "id",
-        *[f(F.transform("p", lambda q, c=c: q[c])).alias(n) for n, f, c in (("bx0", F.array_min, "x"), ("bx1", F.array_max, "x"), ("by0", F.array_min, "y"), ("by1", F.array_max, "y"))],
-    ).dropDuplicates(["image", "id"])
+        F.array_min("p.x").alias("bx0"), F.array_max("p.x").alias("bx1"), F.array_min("p.y").alias("by0"), F.array_max("p.y").alias("by1"),
+    )
     pairs = tree.leaf_shapes(boxes).select(
         "image", F.col("s_id").alias("id"), F.col("a_k").alias("k"), F.col("a_tx").alias("tx"), F.col("a_ty").alias("ty"), "a_blocks", *[f"a_{c}" for c in _BOX]
     )
