@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
@@ -22,11 +23,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 from slideloom.operators.multivalue import split_values
+from slideloom.session import checkpointed
 
 MOST_EDITS = 2
 #: Letters that a name shortened without a full stop has at least.
 SHORTEST_START = 6
-#: Entries of a canonical list that is broadcast with its deletions; a longer one is joined by a shuffle.
+#: Forms of a canonical list that is broadcast with their deletions; a longer one is joined by a shuffle.
 BROADCAST_ENTRIES = 5_000
 
 # Letters of other scripts that look like Latin ones, and the Greek letters.
@@ -278,42 +280,112 @@ def _cost() -> Column:
     return F.pandas_udf(_costs, DoubleType())("value", "form", "cut", "stem", "tail")
 
 
-def meanings(values: DataFrame, entries: DataFrame, few: bool, loose: bool = True) -> DataFrame:
+_FOUND = "value string, entry string, cost double, nth int"
+
+
+@dataclass(frozen=True)
+class Dictionary:
+    """The forms of a canonical list and, under each string that deletions leave, the forms it may be of."""
+
+    forms: tuple[tuple[str, str, str], ...]
+    exact: dict[str, tuple[int, ...]]
+    deleted: dict[str, tuple[int, ...]]
+    longest: int
+
+    def lookup(self, value: str, loose: bool) -> list[tuple[str, str, float, int]]:
+        """(value, entry, cost, nth) of every entry that a typed value may mean."""
+        found = []
+        for form, nth, cut in readings(value):
+            for k in self.exact.get(form, ()):
+                entry, stem, tail = self.forms[k]
+                if agrees(value, form, stem, tail):
+                    found.append((value, entry, 0.0, nth))
+            if loose and not cut and 4 <= len(form) <= self.longest + MOST_EDITS:
+                near = {k for d in deletions(form, MOST_EDITS) for k in self.deleted.get(d, ())}
+                for k in near:
+                    entry, stem, tail = self.forms[k]
+                    if agrees(value, form, stem, tail):
+                        d = distance(form[: len(form) - len(tail)], stem, edits_allowed(stem))
+                        if d < float("inf"):
+                            found.append((value, entry, 1 + d, nth))
+            if loose:
+                found += self._begun(value, form, nth, cut)
+        return found
+
+    def _begun(self, value: str, form: str, nth: int, cut: int) -> list[tuple[str, str, float, int]]:
+        """The one entry whose stem a shortened name starts, followed by the same number."""
+        if not cut and len(form) >= SHORTEST_START and not re.search(r"\d", form):
+            cut = len(form)
+        if cut < 4:
+            return []
+        start, rest = form[:cut], form[cut:]
+        entries = {e for e, stem, tail in self.forms if stem.startswith(start) and rest == tail}
+        return [(value, entries.pop(), 5.0, nth)] if len(entries) == 1 else []
+
+
+def built(rows: list[tuple[str, str, str]]) -> Dictionary:
+    """The dictionary of (entry, stem, tail) rows."""
+    exact: dict[str, tuple[int, ...]] = {}
+    deleted: dict[str, tuple[int, ...]] = {}
+    for k, (_, stem, tail) in enumerate(rows):
+        exact[stem + tail] = (*exact.get(stem + tail, ()), k)
+        if edits_allowed(stem):
+            for d in deletions(stem + tail, MOST_EDITS):
+                deleted[d] = (*deleted.get(d, ()), k)
+    return Dictionary(tuple(rows), exact, deleted, max((len(s + t) for _, s, t in rows), default=0))
+
+
+def _found_by_broadcast(values: DataFrame, rows: list[tuple[str, str, str]], loose: bool) -> DataFrame:
+    """Every entry that each value may mean, by the broadcast dictionary."""
+    shared = values.sparkSession.sparkContext.broadcast(built(rows))
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [r for v in frame["value"] for r in shared.value.lookup(v, loose)]
+            yield pd.DataFrame(found, columns=["value", "entry", "cost", "nth"])
+
+    return values.mapInPandas(batches, _FOUND)
+
+
+def _found_by_join(values: DataFrame, entries: DataFrame, loose: bool) -> DataFrame:
+    """The same by joins, for a canonical list too long to broadcast."""
+    typed = _typed_forms(values)
+    exact = typed.join(entries, "form").withColumn("cost", _cost())
+    exact = exact.where("cost is not null").select("value", "entry", F.lit(0.0).alias("cost"), "nth")
+    if not loose:
+        return exact
+    longest = entries.agg(F.max(F.length("form"))).first()[0] or 0
+    index = _with_deletions(entries.where(F.length("stem") >= 6), "form", longest)
+    near = _with_deletions(typed.where("cut = 0"), "form", longest).join(index.withColumnRenamed("form", "of"), "left")
+    near = near.dropDuplicates(["value", "form", "entry", "of"]).withColumn("cost", _cost())
+    near = near.where("cost is not null").select("value", "entry", (1 + F.col("cost")).alias("cost"), "nth")
+    plain = F.when((F.length("form") >= SHORTEST_START) & ~F.col("form").rlike(r"\d"), F.length("form")).otherwise(0)
+    cut = typed.withColumn("cut", F.when(F.col("cut") > 0, F.col("cut")).otherwise(plain))
+    short = cut.where("cut >= 4").withColumn("start", F.substring("form", 1, 4)).join(
+        entries.withColumn("start", F.substring("stem", 1, 4)).withColumnRenamed("form", "of"), "start"
+    )
+    short = short.where("startswith(stem, substring(form, 1, cut)) and substring(form, cut + 1) = tail")
+    short = short.withColumn("many", F.size(F.collect_set("entry").over(Window.partitionBy("value", "form")))).where("many = 1")
+    return exact.unionByName(near).unionByName(short.select("value", "entry", F.lit(5.0).alias("cost"), "nth"))
+
+
+def meanings(values: DataFrame, entries: DataFrame, loose: bool = True, most_entries: int = BROADCAST_ENTRIES) -> DataFrame:
     """(value, entry): what each distinct value means; values that mean nothing have no row.
 
-    ``loose`` False takes exact forms only. ``entries`` comes from :func:`dictionary`.
+    ``loose`` False takes exact forms only. ``entries`` comes from :func:`dictionary`; its
+    forms are broadcast while they are at most ``most_entries``, else they are joined. Each
+    distinct value is looked up once, however many rows hold it.
     """
-    small = F.broadcast if few else (lambda d: d)
-    typed = _typed_forms(values.where("value is not null").distinct())
-    exact = typed.join(small(entries), "form").withColumn("cost", _cost())
-    exact = exact.where("cost is not null").select("value", "entry", F.lit(0.0).alias("cost"), "nth")
-    if not loose:
-        found = exact
-    else:
-        longest = entries.agg(F.max(F.length("form"))).first()[0] or 0
-        index = _with_deletions(entries.where(F.length("stem") >= 6), "form", longest)
-        near = _with_deletions(typed.where("cut = 0"), "form", longest).join(small(index.withColumnRenamed("form", "of")), "left")
-        near = near.dropDuplicates(["value", "form", "entry", "of"]).withColumn("cost", _cost())
-        near = near.where("cost is not null").select("value", "entry", (1 + F.col("cost")).alias("cost"), "nth")
-        # A shortened name is the start of one stem only, followed by the same number; without
-        # a full stop it must be one of some length and have no number.
-        plain = F.when((F.length("form") >= SHORTEST_START) & ~F.col("form").rlike(r"\d"), F.length("form")).otherwise(0)
-        cut = typed.withColumn("cut", F.when(F.col("cut") > 0, F.col("cut")).otherwise(plain))
-        short = cut.where("cut >= 4").withColumn("start", F.substring("form", 1, 4)).join(
-            small(entries.withColumn("start", F.substring("stem", 1, 4))).withColumnRenamed("form", "of"), "start"
-        )
-        begun = F.expr("startswith(stem, substring(form, 1, cut)) and (substring(form, cut + 1) = tail or (substring(form, cut + 1) = '' and cut = length(form)))")
-        short = short.where(begun)
-        only = Window.partitionBy("value")
-        short = short.withColumn("many", F.size(F.collect_set("entry").over(only))).where("many = 1")
-        found = exact.unionByName(near).unionByName(short.select("value", "entry", F.lit(5.0).alias("cost"), "nth"))
+    distinct = values.where("value is not null").distinct()
+    rows = [tuple(r) for r in entries.select("entry", "stem", "tail").orderBy("entry", "form").limit(most_entries + 1).collect()]
+    found = checkpointed(_found_by_broadcast(distinct, rows, loose) if len(rows) <= most_entries else _found_by_join(distinct, entries, loose))
     best = found.groupBy("value", "entry").agg(F.min(F.struct("cost", "nth")).alias("b"))
     # Frequency of an entry: how many different values mean it exactly.
-    often = exact.groupBy("entry").agg(F.countDistinct("value").alias("often"))
-    ranked = best.join(small(often), "entry", "left").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("value").orderBy(F.col("b.cost"), F.col("often").desc_nulls_last(), "b.nth", "entry"))
+    often = found.where("cost = 0").groupBy("entry").agg(F.countDistinct("value").alias("often"))
+    ranked = best.join(often, "entry", "left").groupBy("value").agg(
+        F.min(F.struct(F.col("b.cost"), (-F.coalesce("often", F.lit(0))).alias("often"), F.col("b.nth"), "entry")).alias("f")
     )
-    return ranked.where("rank = 1").select("value", "entry")
+    return ranked.select("value", "f.entry")
 
 
 def matched(rows: DataFrame, reference: DataFrame, key: str, value: str, aliases: str | None, entry: str, printed: str) -> DataFrame:
@@ -323,17 +395,15 @@ def matched(rows: DataFrame, reference: DataFrame, key: str, value: str, aliases
     row; repeated rows each have theirs. Of equally near entries the one meant more often
     counts, then the first in order. Empty tables give no row.
     """
-    few = reference.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
-    entries = dictionary(reference, entry, printed)
+    entries = checkpointed(dictionary(reference, entry, printed))
     typed = rows.select(F.col(key).alias("_key"), F.col(value).alias("value"), *([F.col(aliases).alias("_aliases")] if aliases else []))
-    known = meanings(typed.select("value"), entries, few)
-    judged = typed.join(known, "value", "left")
+    judged = checkpointed(typed.join(meanings(typed.select("value"), entries), "value", "left"))
     direct = judged.where("entry is not null").select("_key", "entry")
     if aliases is None:
         return direct.toDF(key, entry)
     rest = judged.where("entry is null").select("_key", "_aliases")
-    alias = split_values(rest, "_key", "_aliases", "value")
-    told = alias.join(meanings(alias.select("value"), entries, few, loose=False), "value")
+    alias = checkpointed(split_values(rest, "_key", "_aliases", "value"))
+    told = alias.join(meanings(alias.select("value"), entries, loose=False), "value")
     by_alias = told.groupBy("_key").agg(F.min(F.struct("position", "entry")).alias("f")).select("_key", "f.entry")
     return direct.unionByName(by_alias).toDF(key, entry)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slideloom.llm import draw, markers, pack, tokens
+from slideloom.llm import draw, markers, mojibake, pack, tokens
 from slideloom.session import table
 
 
@@ -48,9 +48,18 @@ def p7_usage(spark: SparkSession, folder: str) -> DataFrame:
     return pack.usage(p7_packing(spark, folder), table(spark, folder, "container_sizes"))
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.repair(table(spark, folder, "documents")).where("garbled").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """The garbled texts as restored."""
+    return mojibake.repair(table(spark, folder, "documents")).where("garbled").select("doc_id", "restored")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_draw, p2_report, p3_found, p3_unmatched, p6_ids, p6_round_trip, p7_packing, p7_usage)
+    for f in (p2_found, p2_draw, p2_report, p3_found, p3_unmatched, p6_ids, p6_round_trip, p7_packing, p7_usage, p8_found, p8_restored)
 }
 _TARGETS = """
     with last as (
