@@ -262,6 +262,23 @@ def _shifts(spark: SparkSession) -> DataFrame:
     return spark.sql("select * from values (1, 9.0D, 4.0D), (2, -5.0D, 11.0D), (3, 3.0D, -13.0D) as t(shift, dx, dy)")
 
 
+def noise_floor(spark: SparkSession, folder: str) -> DataFrame:
+    """Two labellings of the same fields held against each other: how well people would agree."""
+    px = pixels(spark, folder)
+    both = score.score_outlines(_blocks(px, 1), _blocks(px, 2), None, (0.5,))
+    return both.select("img", "tp", "fp", "fn", F.col("f1").alias("noise_floor_f1"))
+
+
+def worst_agreement_squares(spark: SparkSession, folder: str) -> DataFrame:
+    """The three squares of each image where overlapping labels agree least, of those with five pairs or more."""
+    px = pixels(spark, folder)
+    at = labels.label_stats(_blocks(px, 0)).select("img", F.col("label").alias("a"), F.floor(F.col("cy") / 64).alias("gy"), F.floor(F.col("cx") / 64).alias("gx"))
+    pairs = labels.iou(_blocks(px, 0), _blocks(px, 3)).where("iou >= 0.1").join(at, ["img", "a"])
+    squares = pairs.groupBy("img", "gy", "gx").agg(F.count("*").alias("n"), F.median("iou").alias("median_iou")).where("n >= 5")
+    rank = F.row_number().over(Window.partitionBy("img").orderBy("median_iou", "gy", "gx"))
+    return squares.withColumn("rank", rank).where("rank <= 3")
+
+
 def compare_methods(spark: SparkSession, folder: str) -> DataFrame:
     px = pixels(spark, folder)
     return compare.compare_methods(_blocks(px, 0), _blocks(px, 3), 5.0, 2.0, _shifts(spark))
@@ -292,7 +309,7 @@ QUERIES = {
         analysis_mask, region_properties, pooled_display_range, membrane_composite, downsample_mean, otsu_threshold, label_spans, label_stats, span_label_overlap,
         label_overlap_iou, border_labels_dropped, relabel_dense, cells_in_mask, roi_cut_cells, dilated_labels, expanded_labels, components, small_objects_removed,
         filled_holes, nested_folded, distance_to_background, watershed_cells, predicted_objects, dense_label_tiles, raster_check, f1_sweep, score_outlines,
-        outline_summary, compare_methods, method_area_ratio, method_summary, order_groups,
+        outline_summary, noise_floor, worst_agreement_squares, compare_methods, method_area_ratio, method_summary, order_groups,
     )
 }
 

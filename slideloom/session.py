@@ -7,16 +7,22 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    The folder the cluster names is used as it is. Only where none is set, as in tests,
-    a temporary folder is taken.
+    The folder the cluster names is used as it is. Only where none is set, as in tests, a
+    temporary folder is taken.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
