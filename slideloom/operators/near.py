@@ -146,7 +146,8 @@ def points_within(tree: _Tree, ring: np.ndarray, edges: np.ndarray) -> np.ndarra
     per = tree.buckets.shape[1]
     for level in range(tree.depth + 1):
         x0, x1, y0, y1 = (v[nodes] for v in tree.boxes[level])
-        outer = (x0 <= ex1.max()) & (x1 >= ex0[ring == 0].min()) & (y0 <= ey1.max()) & (y1 >= ey0[ring == 0].min())
+        # Edges left of the leaf are not here, so a node may lie left of all edges and yet inside.
+        outer = (x0 <= ex1.max()) & (y0 <= ey1.max()) & (y1 >= ey0[ring == 0].min())
         nodes, x0, x1, y0, y1 = nodes[outer], x0[outer], x1[outer], y0[outer], y1[outer]
         if not len(nodes):
             break

@@ -105,7 +105,7 @@ def sampled_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 def streamed_histogram(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of lines per supplier kept by a stream that reads the table in micro-batches."""
-    lines = f"{folder}/lineitem.parquet"
+    lines = f"{folder}/lineitem.parquet*"  # a file or a folder of files
     stream = spark.readStream.schema(table(spark, folder, "lineitem").schema).parquet(lines)
     at = f"{shared_folder(spark)}/stream-{uuid4().hex}"
     pixels = stream.select(F.col("l_suppkey").alias("c"), F.col("l_quantity").cast("bigint").alias("v"))
