@@ -175,16 +175,15 @@ def holes(mask: DataFrame, height: int, width: int, most: int) -> DataFrame:
 def folded(runs: DataFrame, radius: int, threshold: float, height: int, width: int) -> DataFrame:
     """(img, label, root): labels mostly inside another one's dilation, folded into it, chains to the end.
 
-    The best holder of a label is the one with the largest share of it, then the smallest
-    label; only a share of at least ``threshold`` counts. Of two labels that hold each other
-    the smaller one stays.
+    The best holder of a label is the one with the largest share of it, then the largest, then
+    the smallest by number; only a share of at least ``threshold`` counts. Labels fold only into
+    larger ones, or equally large ones of smaller number.
     """
-    n = label_stats(runs).select("img", F.col("label").alias("a"), F.col("n").alias("n_a"))
-    held = overlap(runs, dilated(runs, radius, height, width)).where("a <> b").join(n, ["img", "a"])
-    best = held.withColumn("share", F.col("n") / F.col("n_a")).where(F.col("share") >= threshold)
-    best = best.groupBy("img", "a").agg(F.max_by("b", F.struct("share", -F.col("b"))).alias("to"))
-    back = best.select("img", F.col("a").alias("to"), F.col("to").alias("a"), F.lit(True).alias("mutual"))
-    best = best.join(back, ["img", "a", "to"], "left").where("mutual is null or to < a").drop("mutual")
+    n = lambda k: label_stats(runs).select("img", F.col("label").alias(k), F.col("n").alias(f"n_{k}"))
+    held = overlap(runs, dilated(runs, radius, height, width)).where("a <> b").join(n("a"), ["img", "a"]).join(n("b"), ["img", "b"])
+    upwards = (F.col("n_b") > F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("b") < F.col("a")))
+    best = held.withColumn("share", F.col("n") / F.col("n_a")).where((F.col("share") >= threshold) & upwards)
+    best = best.groupBy("img", "a").agg(F.max_by("b", F.struct("share", "n_b", -F.col("b"))).alias("to"))
     roots = checkpointed(runs.select("img", "label").distinct().join(best.withColumnRenamed("a", "label"), ["img", "label"], "left").select("img", "label", F.coalesce("to", "label").alias("root")))
     for _ in range(40):  # pointers double: a chain of n labels ends after log2 n rounds
         up = roots.select("img", F.col("label").alias("root"), F.col("root").alias("further"))
