@@ -26,6 +26,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` in enough partitions to keep all cores busy with work that takes long per row.
+
+    Only an input of fewer partitions than cores, which is a small one, is moved for it.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(2 * cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of ``folder``."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
