@@ -192,7 +192,9 @@ def pack(sizes: DataFrame, kinds: DataFrame, key: str = "doc_id") -> DataFrame:
 
     by_slot = parts.groupBy("container_kind", "capacity", "size", "slot").agg(F.count("*").alias("n"))
     by_slot = checkpointed(by_slot)
-    plan = by_slot.groupBy("container_kind", "capacity", "size").agg(F.sum("n").alias("n")).groupBy("container_kind").applyInPandas(_plan, _PLAN)
+    histogram = by_slot.groupBy("container_kind", "capacity", "size").agg(F.sum("n").alias("n"))
+    # One task per kind: a given number of partitions is not coalesced.
+    plan = checkpointed(histogram.repartition(4 * len(wanted), "container_kind").groupBy("container_kind").applyInPandas(_plan, _PLAN))
     before = Window.partitionBy("container_kind", "size").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_slot.select("container_kind", "size", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
 
