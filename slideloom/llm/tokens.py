@@ -13,6 +13,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from slideloom.session import spread
+
 #: Folder of the public tokenizers' files; a parameter of every function here.
 FOLDER = "/opt/tokenizers"
 NAME = "byte_bpe_50k"
@@ -61,7 +63,7 @@ def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", folder
             ids = [e.ids for e in encoded(batch.column(1).to_pylist(), folder, name)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
 
-    rows = documents.select(F.col(key), F.col(text))
+    rows = spread(documents.select(F.col(key), F.col(text)))
     return rows.mapInArrow(batches, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>")
 
 
@@ -73,7 +75,7 @@ def lengths(documents: DataFrame, key: str = "doc_id", text: str = "text", folde
             sizes = [len(e.ids) for e in encoded(batch.column(1).to_pylist(), folder, name)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32())], names=[key, "size"])
 
-    rows = documents.select(F.col(key), F.col(text)).where(F.length(F.col(text)) > 0)
+    rows = spread(documents.select(F.col(key), F.col(text)).where(F.length(F.col(text)) > 0))
     return rows.mapInArrow(batches, f"`{key}` {rows.schema[key].dataType.simpleString()}, size int")
 
 
