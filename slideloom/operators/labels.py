@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slideloom.operators.graph import components
+from slideloom.operators.morph import by_tile, nearest_labels
 from slideloom.session import checkpointed
 
 #: Width of the bins on which spans of a row meet.
@@ -122,25 +123,28 @@ def dilated(runs: DataFrame, radius: int, height: int, width: int) -> DataFrame:
     return merged_runs(out.where((F.col("y") >= 0) & (F.col("y") < height)))
 
 
-def expanded(runs: DataFrame, distance: int, height: int, width: int) -> DataFrame:
+def expanded(runs: DataFrame, distance: int, height: int, width: int, tile: int = 512) -> DataFrame:
     """(img, y, x, label): labels with the background at most ``distance`` from them, nearest first.
 
-    Pixels as far from several labels go to the smallest one; labelled pixels keep theirs.
+    Pixels as far from several labels go to the smallest one; labelled pixels keep theirs. A task
+    grows the labels of one tile and of the halo around it.
     """
-    reach = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(dy * dy + dx * dx).alias("d2")) for dy in range(-distance, distance + 1) for dx in range(-distance, distance + 1) if dy * dy + dx * dx <= distance * distance])
-    moved = pixels_of(runs).withColumn("_m", F.explode(reach))
-    moved = moved.select("img", (F.col("y") + F.col("_m.dy")).alias("y"), (F.col("x") + F.col("_m.dx")).alias("x"), F.struct("_m.d2", "label").alias("_k"))
-    inside = (F.col("y") >= 0) & (F.col("y") < height) & (F.col("x") >= 0) & (F.col("x") < width)
-    return moved.where(inside).groupBy("img", "y", "x").agg(F.min("_k").alias("_k")).select("img", "y", "x", "_k.label")
+    pixels = pixels_of(runs).select("img", "y", "x", "label")
+    grown = by_tile(pixels, tile, distance, ["label"], lambda a: nearest_labels(a, distance), unique=True)
+    return grown.where((F.col("y") >= 0) & (F.col("y") < height) & (F.col("x") >= 0) & (F.col("x") < width)).select("img", "y", "x", "label")
 
 
 def foreground_components(mask: DataFrame, diagonal: bool = True) -> DataFrame:
-    """(img, y, x0, x1, label): connected pieces of a mask (img, y, x), numbered by first pixel (R2).
+    """(img, y, x0, x1, label): connected pieces of a mask (img, y, x), numbered by first pixel (R2)."""
+    return span_components(spans(mask.withColumn("label", F.lit(1))), diagonal)
+
+
+def span_components(runs: DataFrame, diagonal: bool = True) -> DataFrame:
+    """(img, y, x0, x1, label): connected pieces of spans, numbered by first pixel (R2).
 
     The graph has spans as nodes and joins those of adjacent rows that touch; with
     ``diagonal`` corners touch too.
     """
-    runs = spans(mask.withColumn("label", F.lit(1)))
     # A span is named by its place: images have fewer than 2**20 rows and columns.
     named = checkpointed(runs.select("img", "y", "x0", "x1", (F.col("img").cast("bigint") * 2**40 + F.col("y") * 2**20 + F.col("x0")).cast("bigint").alias("id")))
     wide = 1 if diagonal else 0
@@ -154,6 +158,17 @@ def foreground_components(mask: DataFrame, diagonal: bool = True) -> DataFrame:
     return rooted.join(order, "root").select("img", "y", "x0", "x1", "label")
 
 
+def background(runs: DataFrame, height: int, width: int) -> DataFrame:
+    """The spans between the spans of images of one size, rows without any included."""
+    rows = runs.select("img").distinct().withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1)))).withColumn("y", F.col("y").cast("bigint"))
+    order = Window.partitionBy("img", "y").orderBy("x0")
+    until = F.coalesce(F.max("x1").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # The end of a row closes its last gap.
+    ends = rows.select("img", "y", F.lit(width).cast("bigint").alias("x0"), F.lit(width).cast("bigint").alias("x1"))
+    gaps = runs.select("img", "y", F.col("x0").cast("bigint").alias("x0"), F.col("x1").cast("bigint").alias("x1")).unionByName(ends)
+    return gaps.select("img", "y", until.alias("_from"), F.col("x0").alias("_to")).where("_from < _to").select("img", F.lit(1).alias("label"), "y", F.col("_from").alias("x0"), F.col("_to").alias("x1"))
+
+
 def without_small(mask: DataFrame, least: int, diagonal: bool = True) -> DataFrame:
     """The spans of pieces of at least ``least`` pixels."""
     pieces = checkpointed(foreground_components(mask, diagonal))
@@ -163,9 +178,7 @@ def without_small(mask: DataFrame, least: int, diagonal: bool = True) -> DataFra
 
 def holes(mask: DataFrame, height: int, width: int, most: int) -> DataFrame:
     """(img, y, x): pixels of holes of at most ``most`` pixels: background pieces off the border."""
-    whole = mask.select("img").distinct().withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
-    back = whole.join(mask.select("img", "y", "x").distinct(), ["img", "y", "x"], "left_anti")
-    pieces = checkpointed(foreground_components(back, diagonal=False))
+    pieces = checkpointed(span_components(background(spans(mask.withColumn("label", F.lit(1))), height, width), diagonal=False))
     edge = (F.col("y") == 0) | (F.col("y") == height - 1) | (F.col("x0") == 0) | (F.col("x1") == width)
     size = pieces.groupBy("img", "label").agg(F.sum(F.col("x1") - F.col("x0")).alias("n"), F.max(edge).alias("edge"))
     small = size.where((F.col("n") <= most) & ~F.col("edge"))

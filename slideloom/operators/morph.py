@@ -65,11 +65,12 @@ def flood(elevation: np.ndarray, markers: np.ndarray, inside: np.ndarray) -> np.
     return out
 
 
-def by_tile(pixels: DataFrame, tile: int, halo: int, columns: Sequence[str], work: Callable[..., np.ndarray]) -> DataFrame:
+def by_tile(pixels: DataFrame, tile: int, halo: int, columns: Sequence[str], work: Callable[..., np.ndarray], unique: bool = False) -> DataFrame:
     """(img, ty, tx, y, x, label): ``work`` on each tile with its halo, the tile's own pixels kept.
 
     ``pixels`` has img, y, x and ``columns``; missing pixels count as 0. ``work`` gets one array
-    per column and gives the labels. A group is a tile of (tile + 2 * halo)^2 pixels at most;
+    per column and gives the labels. Repeated places count with their largest values, unless
+    ``unique`` says that there are none. A group is a tile of (tile + 2 * halo)^2 pixels at most;
     tiles without pixels are skipped.
     """
     side = tile + 2 * halo
@@ -88,10 +89,28 @@ def by_tile(pixels: DataFrame, tile: int, halo: int, columns: Sequence[str], wor
         iy, ix = np.nonzero(own)
         return pd.DataFrame({"img": rows["img"].iloc[0], "ty": ty, "tx": tx, "y": iy + ty * tile, "x": ix + tx * tile, "label": own[iy, ix].astype(np.int64)})
 
-    laid = with_halo(pixels.groupBy("img", "y", "x").agg(*[F.max(c).alias(c) for c in columns]), tile, halo)
+    once = pixels if unique else pixels.groupBy("img", "y", "x").agg(*[F.max(c).alias(c) for c in columns])
+    laid = with_halo(once, tile, halo)
     return laid.groupBy("img", "ty", "tx").applyInPandas(run, f"img {kind}, ty bigint, tx bigint, y bigint, x bigint, label bigint")
 
 
+def nearest_labels(labels: np.ndarray, distance: int) -> np.ndarray:
+    """Labels grown into the background by ``distance``, nearest first, then the smallest label."""
+    rings: dict[int, list[tuple[int, int]]] = {}
+    for dy in range(-distance, distance + 1):
+        for dx in range(-distance, distance + 1):
+            if 0 < dy * dy + dx * dx <= distance * distance:
+                rings.setdefault(dy * dy + dx * dx, []).append((dy, dx))
+    labels, none = labels.astype(np.int64), np.iinfo(np.int64).max
+    wide = np.pad(np.where(labels > 0, labels, none), distance, constant_values=none)
+    out, (h, w) = labels.copy(), labels.shape
+    for _, offsets in sorted(rings.items()):
+        near = np.minimum.reduce([wide[distance + dy : distance + dy + h, distance + dx : distance + dx + w] for dy, dx in offsets])
+        fill = (out == 0) & (near < none)
+        out[fill] = near[fill]
+    return out
+
+
 def watershed(pixels: DataFrame, tile: int, halo: int) -> DataFrame:
     """(img, y, x, label): markers grown over ``inside`` by ``elevation``, tile by tile.
 
