@@ -330,29 +330,31 @@ class _QuadTree:
 
 
 _TASK = ("image", "k", "tx", "ty", "block")
-_ROWS = ("kind", "id", "x", "y", "x2", "y2", "ring")
+_TARGET = "array<struct<k:int,tx:bigint,ty:bigint,blocks:int,bx0:double,bx1:double,by0:double,by1:double>>"
 
 
 def _point_rows(points: DataFrame, tree: _QuadTree, distance: float) -> DataFrame:
     """Each point as a row of the task of its leaf, and of tasks of leaves it may be near to."""
-    pairs = checkpointed(tree.leaf_pairs(distance))
-    target = F.struct(
-        F.col("a_k").alias("k"), F.col("a_tx").alias("tx"), F.col("a_ty").alias("ty"), F.col("a_blocks").alias("blocks"),
-        *[F.col(f"a_{c}").alias(c) for c in _BOX],
-    )
-    apart = pairs.where(~F.struct("a_k", "a_tx", "a_ty").eqNullSafe(F.struct("b_k", "b_tx", "b_ty")))
-    apart = apart.select("image", F.col("b_k").alias("k"), F.col("b_tx").alias("tx"), F.col("b_ty").alias("ty"), target.alias("to"))
-
     # Under each smallest tile: its leaf, and the leaves that its points may be near to.
     above = F.array(*[F.lit(k) for k in range(tree.levels + 1)])
     up = lambda c: F.expr(f"shiftright({c}, {FAN_BITS} * k)").alias(c[1:])
     tiles = tree.base.select("image", F.col("tx").alias("_tx"), F.col("ty").alias("_ty"), *_BOX).withColumn("k", F.explode(above))
     tiles = tiles.select("image", "_tx", "_ty", *_BOX, "k", up("_tx"), up("_ty"))
     leaf = tiles.join(tree.leaves.select("image", "k", "tx", "ty", "blocks"), ["image", "k", "tx", "ty"])
-    limit = distance * distance
-    reach = leaf.join(apart, ["image", "k", "tx", "ty"]).withColumns({f"t{c}": F.col(f"to.{c}") for c in _BOX})
-    reach = reach.where(_gap("", "t") <= limit).groupBy("image", "_tx", "_ty").agg(F.collect_list("to").alias("to"))
-    tiles = leaf.drop(*_BOX).join(reach, ["image", "_tx", "_ty"], "left")
+    limit = max(distance, 0.0) ** 2
+    if distance < 0:  # no point is near another one
+        tiles = leaf.drop(*_BOX).withColumn("to", F.lit(None).cast(_TARGET))
+    else:
+        pairs = checkpointed(tree.leaf_pairs(distance))
+        target = F.struct(
+            F.col("a_k").alias("k"), F.col("a_tx").alias("tx"), F.col("a_ty").alias("ty"), F.col("a_blocks").alias("blocks"),
+            *[F.col(f"a_{c}").alias(c) for c in _BOX],
+        )
+        apart = pairs.where(~F.struct("a_k", "a_tx", "a_ty").eqNullSafe(F.struct("b_k", "b_tx", "b_ty")))
+        apart = apart.select("image", F.col("b_k").alias("k"), F.col("b_tx").alias("tx"), F.col("b_ty").alias("ty"), target.alias("to"))
+        reach = leaf.join(apart, ["image", "k", "tx", "ty"]).withColumns({f"t{c}": F.col(f"to.{c}") for c in _BOX})
+        reach = reach.where(_gap("", "t") <= limit).groupBy("image", "_tx", "_ty").agg(F.collect_list("to").alias("to"))
+        tiles = leaf.drop(*_BOX).join(reach, ["image", "_tx", "_ty"], "left")
 
     placed = points.withColumn("_tx", _tile(F.col("x"))).withColumn("_ty", _tile(F.col("y"))).join(tiles, ["image", "_tx", "_ty"])
     block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id"), F.col("blocks"))).otherwise(0).cast("int")
@@ -368,7 +370,7 @@ def _point_rows(points: DataFrame, tree: _QuadTree, distance: float) -> DataFram
     dy = lambda t: F.greatest(F.lit(0.0), t["by0"] - y, y - t["by1"])
     own = F.array(at("k", "tx", "ty", block, _POINT))
     earlier = F.when(
-        F.col("blocks") > 1,
+        (F.col("blocks") > 1) & F.lit(distance >= 0),
         F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: i < block), lambda i: at("k", "tx", "ty", i, _HALO)),
     )
     near = F.filter("to", lambda t: dx(t) * dx(t) + dy(t) * dy(t) <= limit)
@@ -428,7 +430,7 @@ def near(points: DataFrame, shapes: DataFrame | None = None, distance: float = 4
     points = points.select("image", F.col("id").cast("bigint").alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     points = points.where(F.col("image").isNotNull() & F.col("id").isNotNull() & fine("x") & fine("y"))
     tree = _QuadTree(points, leaf_points)
-    rows = _point_rows(points, tree, max(distance, 0.0))
+    rows = _point_rows(points, tree, distance)
     if shapes is not None:
         rows = rows.unionByName(_shape_rows(shapes.select("image", F.col("id").cast("bigint").alias("id"), "rings"), tree))
     found = rows.groupBy(*_TASK).applyInArrow(_task(distance), "image string, near_kind string, id_a bigint, id_b bigint")

@@ -73,3 +73,11 @@ def test_tree_recursion_alone():
         i, j = N.close_pairs(x, y, own, 5.0)
         want = {(a, b) for a in range(n) for b in range(a + 1, n) if (own[a] or own[b]) and (x[a] - x[b]) ** 2 + (y[a] - y[b]) ** 2 <= 25}
         assert {(min(p), max(p)) for p in zip(i.tolist(), j.tolist())} == want and len(i) == len(want)
+
+
+def test_regions_only(spark):
+    rnd = random.Random(9)
+    points = [("a", k, rnd.uniform(0, 400), rnd.uniform(0, 400), "") for k in range(150)]
+    shapes = [("a", 500 + k, [star(rnd, rnd.uniform(0, 400), rnd.uniform(0, 400), 120)], "") for k in range(6)]
+    want = {x for x in brute(points, shapes, 0.0) if x[1] == "shape"}
+    assert set(found(spark, points, shapes, -1.0, leaf_points=20)) == want
