@@ -7,8 +7,11 @@ pair of leaves left over becomes work of a distributed task, where the recursion
 a balanced tree of the leaf's points: impossible node pairs are dropped, pairs certainly near
 are accepted wholesale, and only uncertain ones are compared point by point.
 
-A tile that holds too many points even at the smallest size is cut into blocks, whose pairs
-are separate tasks, so that no task gets an unbounded group.
+A tile that holds too many points even at the smallest size is hot: repeats of its points are
+removed by an aggregation, and it is refined further, down to tiles as small as half the
+distance. What is still too full there is cut into blocks, and each pair of blocks is a task of
+its own with the points of these two only. A leaf gets the points near to it from leaves of its
+own size or larger ones, which are few.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ BASE_TILE = 128.0
 FAN_BITS = 2
 #: Points of a leaf; a leaf above it is refined, or cut into blocks at the smallest tile.
 LEAF_POINTS = 32_768
+#: Points of a block at most, about; all pairs of two blocks may be near.
+BLOCK_POINTS = 4_096
+#: Levels of smaller tiles in a hot tile, at most.
+MOST_FINE = 6
 _BUCKET = 12
 _CHUNK = 1 << 21
 
@@ -70,8 +77,8 @@ class _Tree:
         self.buckets = order.reshape(leaves, size)
 
 
-def close_pairs(x: np.ndarray, y: np.ndarray, own: np.ndarray, distance: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j) of points at most ``distance`` apart, at least one of them ``own``."""
+def close_pairs(x: np.ndarray, y: np.ndarray, own: np.ndarray, distance: float, crossed: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i, j) of points at most ``distance`` apart, at least one of them ``own``; exactly one if ``crossed``."""
     none = np.empty(0, np.int64)
     if len(x) < 2:
         return none, none
@@ -103,7 +110,7 @@ def close_pairs(x: np.ndarray, y: np.ndarray, own: np.ndarray, distance: float)
         i, j, same = p[m, i], q[m, j], (a[at : at + step] == b[at : at + step])[m]
         good = (i < tree.n) & (j < tree.n) & (~same | (i < j))
         i, j = i[good], j[good]
-        good = own[i] | own[j]
+        good = own[i] != own[j] if crossed else own[i] | own[j]
         first.append(i[good])
         second.append(j[good])
     return np.concatenate(first), np.concatenate(second)
@@ -187,7 +194,7 @@ def _task(distance: float):
         ) if point.any() else np.rec.fromarrays([np.empty(0, bool), np.empty(0, np.int64), np.empty(0), np.empty(0)], names="halo,id,x,y")
         a = b = np.empty(0, np.int64)
         if len(rows) > 1 and distance >= 0:
-            i, j = close_pairs(rows.x, rows.y, ~rows.halo, distance)
+            i, j = close_pairs(rows.x, rows.y, ~rows.halo, distance, crossed=key[_TASK.index("pair")].as_py() is not None)
             a, b = np.minimum(rows.id[i], rows.id[j]), np.maximum(rows.id[i], rows.id[j])
             pairs = np.unique(np.stack([a, b], 1)[a != b], axis=0)
             a, b = pairs[:, 0], pairs[:, 1]
@@ -222,19 +229,28 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _BOX = ("bx0", "bx1", "by0", "by1")
 
 
-def _tile(value: Column) -> Column:
-    return F.floor(value / F.lit(BASE_TILE)).cast("bigint")
+def _tile(value: Column, finer: int = 0) -> Column:
+    return F.floor(value / F.lit(BASE_TILE / 2 ** (FAN_BITS * finer))).cast("bigint")
 
 
-def _nodes(points: DataFrame, levels: int) -> DataFrame:
-    """All nodes of the quadtree: (image, k, tx, ty, n, box), from counts per smallest tile."""
-    base = points.groupBy("image", _tile(F.col("x")).alias("tx"), _tile(F.col("y")).alias("ty")).agg(
+def _counted(points: DataFrame, finer: int = 0) -> DataFrame:
+    """(image, tx, ty, n, box) of the points of each tile."""
+    return points.groupBy("image", _tile(F.col("x"), finer).alias("tx"), _tile(F.col("y"), finer).alias("ty")).agg(
         F.count("*").alias("n"), F.min("x").alias("bx0"), F.max("x").alias("bx1"), F.min("y").alias("by0"), F.max("y").alias("by1")
     )
-    up = lambda c: F.expr(f"shiftright({c}, {FAN_BITS} * k)").alias(c)
+
+
+def _above(base: DataFrame, levels: int) -> DataFrame:
+    """``base`` (image, fk, tx, ty, ...) once for each node above: with the node's k, tx and ty."""
+    up = lambda c: F.expr(f"shiftright({c}, cast({FAN_BITS} * (k - fk) as int))").alias(c)
+    tiles = base.withColumn("k", F.explode(F.sequence("fk", F.lit(levels))))
+    return tiles.select("image", "k", up("tx"), up("ty"), *[c for c in tiles.columns if c not in ("image", "k", "tx", "ty")])
+
+
+def _nodes(base: DataFrame, levels: int) -> DataFrame:
+    """All nodes of the quadtree: (image, k, tx, ty, n, box), from counts per smallest tile."""
     return (
-        base.withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(levels + 1)])))
-        .select("image", "k", up("tx"), up("ty"), "n", *_BOX)
+        _above(base, levels)
         .groupBy("image", "k", "tx", "ty")
         .agg(F.sum("n").alias("n"), F.min("bx0").alias("bx0"), F.max("bx1").alias("bx1"), F.min("by0").alias("by0"), F.max("by1").alias("by1"))
     )
@@ -255,14 +271,35 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _placed(points: DataFrame, fk: int, finer: int = 0) -> DataFrame:
+    """Points with their smallest tile: its level ``fk`` and its place."""
+    return points.withColumns({"fk": F.lit(fk), "_tx": _tile(F.col("x"), finer), "_ty": _tile(F.col("y"), finer)})
+
+
 class _QuadTree:
     """The nodes of the upper tree that the recursion may reach, from the roots to the leaves."""
 
-    def __init__(self, points: DataFrame, leaf_points: int) -> None:
-        far = points.agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0] or 1.0
-        self.levels = max(1, math.ceil(math.log2(max(far, BASE_TILE) * 1.001 / BASE_TILE) / FAN_BITS))
-        all_nodes = checkpointed(_nodes(points, self.levels))
-        self.base = all_nodes.where("k = 0")
+    def __init__(self, points: DataFrame, leaf_points: int, distance: float) -> None:
+        counted = checkpointed(_counted(points))
+        far, most = counted.agg(F.max(F.greatest(*[F.abs(c) for c in _BOX])), F.max("n")).first()
+        self.levels = max(1, math.ceil(math.log2(max(far or 1.0, BASE_TILE) * 1.001 / BASE_TILE) / FAN_BITS))
+        # The level of tiles of BASE_TILE; those below it are in hot tiles only.
+        fine = 0
+        if (most or 0) <= leaf_points:
+            self.points, base = _placed(points, 0), counted.withColumn("fk", F.lit(0))
+        else:
+            if distance >= 0:
+                fine = min(MOST_FINE, max(0, math.floor(math.log2(2 * BASE_TILE / distance) / FAN_BITS))) if distance else MOST_FINE
+            is_hot, tile = F.col("n") > leaf_points, ["image", "_tx", "_ty"]
+            hot = counted.where(is_hot).select("image", F.col("tx").alias("_tx"), F.col("ty").alias("_ty"))
+            placed = _placed(points, fine)
+            once = placed.join(hot, tile, "left_semi").groupBy("image", "id", "x", "y").agg(F.count("*").alias("_n")).drop("_n")
+            once = checkpointed(once)
+            self.points = placed.join(hot, tile, "left_anti").unionByName(_placed(once, 0, fine))
+            base = counted.where(~is_hot).withColumn("fk", F.lit(fine)).unionByName(_counted(once, fine).withColumn("fk", F.lit(0)))
+        self.levels, self.fine = self.levels + fine, fine
+        self.base = base = checkpointed(base)
+        all_nodes = checkpointed(_nodes(base, self.levels))
         level = all_nodes.where(F.col("k") == self.levels).withColumn("leaf", F.col("n") <= leaf_points)
         alive = [level]
         for k in range(self.levels - 1, -1, -1):
@@ -271,7 +308,8 @@ class _QuadTree:
             level = here.join(parent, ["image", "_px", "_py"]).drop("_px", "_py")
             level = level.withColumn("leaf", (F.col("n") <= leaf_points) | F.lit(k == 0))
             alive.append(level)
-        self.alive = checkpointed(_union(alive).withColumn("blocks", F.ceil(F.col("n") / leaf_points).cast("int")))
+        blocks = F.when(F.col("n") > leaf_points, F.ceil(F.col("n") / min(leaf_points, BLOCK_POINTS))).otherwise(1)
+        self.alive = checkpointed(_union(alive).withColumn("blocks", blocks.cast("int")))
         self.leaves = self.alive.where("leaf").drop("leaf")
 
     def at(self, k: int) -> DataFrame:
@@ -291,7 +329,7 @@ class _QuadTree:
     def leaf_pairs(self, distance: float) -> DataFrame:
         """Pairs of leaves whose boxes are at most ``distance`` apart, each once, with themselves too."""
         limit = F.lit(distance * distance)
-        reach = max(1, math.ceil(distance / (BASE_TILE * 2 ** (FAN_BITS * self.levels))))
+        reach = max(1, math.ceil(distance / (BASE_TILE * 2 ** (FAN_BITS * (self.levels - self.fine)))))
         steps = F.array(*[F.lit(i) for i in range(-reach, reach + 1)])
         roots = self.at(self.levels)
         moved = _prefixed(roots, "a_").withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
@@ -329,59 +367,76 @@ class _QuadTree:
         return _union([*done, pairs])
 
 
-_TASK = ("image", "k", "tx", "ty", "block")
-_TARGET = "array<struct<k:int,tx:bigint,ty:bigint,blocks:int,bx0:double,bx1:double,by0:double,by1:double>>"
+#: A task of two blocks names the second one in ``pair``.
+_TASK = ("image", "k", "tx", "ty", "block", "pair")
+_TARGET = "array<struct<k:int,tx:bigint,ty:bigint,blocks:int,bx0:double,bx1:double,by0:double,by1:double,role:int>>"
+#: What a point does for a leaf it may be near to: it goes to the leaf's own task, or, where
+#: one of both is cut into blocks, to tasks of pairs of blocks as a point of the first or second.
+_TO_LEAF, _FIRST, _SECOND = 0, 1, 2
 
 
-def _point_rows(points: DataFrame, tree: _QuadTree, distance: float) -> DataFrame:
+def _point_rows(tree: _QuadTree, distance: float) -> DataFrame:
     """Each point as a row of the task of its leaf, and of tasks of leaves it may be near to."""
     # Under each smallest tile: its leaf, and the leaves that its points may be near to.
-    above = F.array(*[F.lit(k) for k in range(tree.levels + 1)])
-    up = lambda c: F.expr(f"shiftright({c}, {FAN_BITS} * k)").alias(c[1:])
-    tiles = tree.base.select("image", F.col("tx").alias("_tx"), F.col("ty").alias("_ty"), *_BOX).withColumn("k", F.explode(above))
-    tiles = tiles.select("image", "_tx", "_ty", *_BOX, "k", up("_tx"), up("_ty"))
+    tile = ["image", "fk", "_tx", "_ty"]
+    tiles = _above(tree.base.drop("n").withColumns({"_tx": F.col("tx"), "_ty": F.col("ty")}), tree.levels)
     leaf = tiles.join(tree.leaves.select("image", "k", "tx", "ty", "blocks"), ["image", "k", "tx", "ty"])
     limit = max(distance, 0.0) ** 2
     if distance < 0:  # no point is near another one
         tiles = leaf.drop(*_BOX).withColumn("to", F.lit(None).cast(_TARGET))
     else:
         pairs = checkpointed(tree.leaf_pairs(distance))
-        target = F.struct(
-            F.col("a_k").alias("k"), F.col("a_tx").alias("tx"), F.col("a_ty").alias("ty"), F.col("a_blocks").alias("blocks"),
-            *[F.col(f"a_{c}").alias(c) for c in _BOX],
-        )
         apart = pairs.where(~F.struct("a_k", "a_tx", "a_ty").eqNullSafe(F.struct("b_k", "b_tx", "b_ty")))
-        apart = apart.select("image", F.col("b_k").alias("k"), F.col("b_tx").alias("tx"), F.col("b_ty").alias("ty"), target.alias("to"))
-        reach = leaf.join(apart, ["image", "k", "tx", "ty"]).withColumns({f"t{c}": F.col(f"to.{c}") for c in _BOX})
-        reach = reach.where(_gap("", "t") <= limit).groupBy("image", "_tx", "_ty").agg(F.collect_list("to").alias("to"))
-        tiles = leaf.drop(*_BOX).join(reach, ["image", "_tx", "_ty"], "left")
-
-    placed = points.withColumn("_tx", _tile(F.col("x"))).withColumn("_ty", _tile(F.col("y"))).join(tiles, ["image", "_tx", "_ty"])
-    block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id"), F.col("blocks"))).otherwise(0).cast("int")
-
-    def at(k: Column | str, tx: Column | str, ty: Column | str, block: Column, kind: int) -> Column:
-        as_column = lambda c: F.col(c) if isinstance(c, str) else c
+        whole = (F.col("a_blocks") == 1) & (F.col("b_blocks") == 1)
+        smaller = F.col("a_k") <= F.col("b_k")
+
+        def sent(rows: DataFrame, p: str, q: str, role: int) -> DataFrame:
+            """For the leaf ``p``: its target ``q``."""
+            target = F.struct(*[F.col(f"{q}_{c}").alias(c) for c in ("k", "tx", "ty", "blocks", *_BOX)], F.lit(role).alias("role"))
+            return rows.select("image", *[F.col(f"{p}_{c}").alias(c) for c in ("k", "tx", "ty")], target.alias("to"))
+
+        targets = sent(apart.where(whole & smaller), "b", "a", _TO_LEAF).unionByName(sent(apart.where(whole & ~smaller), "a", "b", _TO_LEAF))
+        targets = targets.unionByName(sent(apart.where(~whole), "a", "b", _FIRST)).unionByName(sent(apart.where(~whole), "b", "a", _SECOND))
+        reach = leaf.join(targets, ["image", "k", "tx", "ty"]).withColumns({f"t{c}": F.col(f"to.{c}") for c in _BOX})
+        reach = reach.where(_gap("", "t") <= limit).groupBy(*tile).agg(F.collect_list("to").alias("to"))
+        tiles = leaf.drop(*_BOX).join(reach, tile, "left")
+
+    placed = tree.points.join(tiles, tile)
+    placed = placed.withColumn("_block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id"), F.col("blocks"))).otherwise(0).cast("int"))
+    block, none = F.col("_block"), F.lit(None).cast("string")
+    name = lambda k, tx, ty, block: F.concat_ws("/", k, tx, ty, block)
+
+    def at(k: Column, tx: Column, ty: Column, block: Column, kind: Column, pair: Column) -> Column:
         return F.struct(
-            as_column(k).alias("k"), as_column(tx).alias("tx"), as_column(ty).alias("ty"), block.cast("int").alias("block"), F.lit(kind).cast("tinyint").alias("kind")
+            k.alias("k"), tx.alias("tx"), ty.alias("ty"), block.cast("int").alias("block"), kind.cast("tinyint").alias("kind"), pair.alias("pair")
         )
 
-    x, y = F.col("x"), F.col("y")
+    x, y, here = F.col("x"), F.col("y"), (F.col("k"), F.col("tx"), F.col("ty"))
     dx = lambda t: F.greatest(F.lit(0.0), t["bx0"] - x, x - t["bx1"])
     dy = lambda t: F.greatest(F.lit(0.0), t["by0"] - y, y - t["by1"])
-    own = F.array(at("k", "tx", "ty", block, _POINT))
-    earlier = F.when(
+    point, halo = F.lit(_POINT), F.lit(_HALO)
+    own = F.array(at(*here, block, point, none))
+    blocks_but_own = F.when(
         (F.col("blocks") > 1) & F.lit(distance >= 0),
-        F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: i < block), lambda i: at("k", "tx", "ty", i, _HALO)),
+        F.transform(
+            F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: i != block),
+            lambda i: at(*here, F.least(i, block), F.when(block < i, point).otherwise(halo), name(*here, F.greatest(i, block))),
+        ),
     )
     near = F.filter("to", lambda t: dx(t) * dx(t) + dy(t) * dy(t) <= limit)
-    other = F.flatten(
-        F.transform(near, lambda t: F.transform(F.sequence(F.lit(0), t["blocks"] - 1), lambda i: at(t["k"], t["tx"], t["ty"], i, _HALO)))
-    )
-    none = F.array().cast("array<struct<k:int,tx:bigint,ty:bigint,block:int,kind:tinyint>>")
-    tasks = F.concat(own, F.coalesce(earlier, none), F.coalesce(other, none))
+
+    def task(t: Column, i: Column) -> Column:
+        first, there = t["role"] == _FIRST, (t["k"], t["tx"], t["ty"])
+        of = lambda c: F.when(first, F.col(c)).otherwise(t[c])
+        pair = F.when(first, name(*there, i)).when(t["role"] == _SECOND, name(*here, block))
+        return at(of("k"), of("tx"), of("ty"), F.when(first, block).otherwise(i), F.when(first, point).otherwise(halo), pair)
+
+    other = F.flatten(F.transform(near, lambda t: F.transform(F.sequence(F.lit(0), t["blocks"] - 1), lambda i: task(t, i))))
+    nothing = F.array().cast("array<struct<k:int,tx:bigint,ty:bigint,block:int,kind:tinyint,pair:string>>")
+    tasks = F.concat(own, F.coalesce(blocks_but_own, nothing), F.coalesce(other, nothing))
     empty = F.lit(None).cast("double")
     return placed.select("image", "id", "x", "y", F.explode(tasks).alias("t")).select(
-        "image", "t.k", "t.tx", "t.ty", "t.block", "t.kind", "id", "x", "y", empty.alias("x2"), empty.alias("y2"), F.lit(None).cast("int").alias("ring")
+        "image", "t.k", "t.tx", "t.ty", "t.block", "t.pair", "t.kind", "id", "x", "y", empty.alias("x2"), empty.alias("y2"), F.lit(None).cast("int").alias("ring")
     )
 
 
@@ -408,7 +463,7 @@ def _shape_rows(shapes: DataFrame, tree: _QuadTree) -> DataFrame:
     met = (F.greatest("y", "y2") >= F.col("a_by0")) & (F.least("y", "y2") <= F.col("a_by1")) & (F.greatest("x", "x2") >= F.col("a_bx0"))
     rows = edges.join(pairs, ["image", "id"]).where(met)
     return rows.select(
-        "image", "k", "tx", "ty", F.explode(F.sequence(F.lit(0), F.col("a_blocks") - 1)).alias("block"),
+        "image", "k", "tx", "ty", F.explode(F.sequence(F.lit(0), F.col("a_blocks") - 1)).alias("block"), F.lit(None).cast("string").alias("pair"),
         F.lit(_EDGE).cast("tinyint").alias("kind"), "id", "x", "y", "x2", "y2", "ring",
     )
 
@@ -429,8 +484,8 @@ def near(points: DataFrame, shapes: DataFrame | None = None, distance: float = 4
     fine = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
     points = points.select("image", F.col("id").cast("bigint").alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     points = points.where(F.col("image").isNotNull() & F.col("id").isNotNull() & fine("x") & fine("y"))
-    tree = _QuadTree(points, leaf_points)
-    rows = _point_rows(points, tree, distance)
+    tree = _QuadTree(points, leaf_points, distance)
+    rows = _point_rows(tree, distance)
     if shapes is not None:
         rows = rows.unionByName(_shape_rows(shapes.select("image", F.col("id").cast("bigint").alias("id"), "rings"), tree))
     found = rows.groupBy(*_TASK).applyInArrow(_task(distance), "image string, near_kind string, id_a bigint, id_b bigint")

@@ -81,3 +81,30 @@ def test_regions_only(spark):
     shapes = [("a", 500 + k, [star(rnd, rnd.uniform(0, 400), rnd.uniform(0, 400), 120)], "") for k in range(6)]
     want = {x for x in brute(points, shapes, 0.0) if x[1] == "shape"}
     assert set(found(spark, points, shapes, -1.0, leaf_points=20)) == want
+
+def group_sizes(spark, points, leaf_points):
+    tree = N._QuadTree(points, leaf_points, 4.0)
+    return [r["count"] for r in N._point_rows(tree, 4.0).groupBy(*N._TASK).count().collect()], tree
+
+
+def test_hot_tile_is_bounded(spark):
+    """A hot tile's tasks hold two blocks at most, or a leaf and its few neighbours; repeats don't count."""
+    spread = spark.range(8000).selectExpr("'a' as image", "id", "id % 90 * 1.4D as x", "id div 90 * 1.4D as y")
+    sizes, _ = group_sizes(spark, spread, 50)
+    assert max(sizes) <= 500  # 8,000 and more in the first block before
+    same = spark.range(600).selectExpr("'a' as image", "id", "5.0D as x", "5.0D as y")
+    sizes, _ = group_sizes(spark, same, 50)
+    assert max(sizes) <= 200
+    again = spark.range(20000).selectExpr("'a' as image", "id % 3 as id", "5.0D + id % 3 as x", "5.0D as y")
+    sizes, tree = group_sizes(spark, again, 50)
+    assert sizes == [3] and tree.points.count() == 3
+
+
+def test_hot_border_of_a_large_leaf(spark):
+    """Leaves of any size and blocks meet across tile borders, each pair once."""
+    rnd = random.Random(4)
+    points = [("a", k, 127.9 - rnd.uniform(0, 0.5), rnd.uniform(0, 40), "t") for k in range(150)]
+    points += [("a", 500 + k, 128.0 + rnd.uniform(0, 3), 10 + rnd.uniform(0, 0.2), "t") for k in range(80)]
+    points += [("a", 1000 + k, 128 + rnd.uniform(0, 300), rnd.uniform(0, 120), "t") for k in range(25)]
+    out = found(spark, points, [], 4.0, leaf_points=30)
+    assert len(out) == len(set(out)) and set(out) == brute(points, [], 4.0)
