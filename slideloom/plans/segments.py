@@ -30,6 +30,12 @@ def reference_values(spark: SparkSession, folder: str) -> DataFrame:
     return segment.values_at(points, bright, 256, 256, []).select("img", "id", "v")
 
 
+def reference_values_by_image(spark: SparkSession, folder: str) -> DataFrame:
+    """The brightest value at the pixel of each point, in the point's own image."""
+    points = _points(spark, folder, 0, 1).withColumn("x", (F.col("x") - 900) * 1.2).withColumn("y", (F.col("y") - 900) * 1.2)
+    return segment.values_at(points, pixels(spark, folder).select("img", "y", "x", "v"), 256, 256).select("img", "id", "v")
+
+
 def interior_points(spark: SparkSession, folder: str) -> DataFrame:
     return segment.interior(_points(spark, folder, 0, 1), 900.0, 2000.0, 2000.0).select("img", "id")
 
@@ -70,7 +76,7 @@ def roi_label_tiles(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (masked_histogram, same_label_overlap, reference_values, interior_points, cells_in_rois, resumable_blocks, nucleus_table, cell_table, roi_label_tiles)
+    for f in (masked_histogram, same_label_overlap, reference_values, reference_values_by_image, interior_points, cells_in_rois, resumable_blocks, nucleus_table, cell_table, roi_label_tiles)
 }
 
 SQL = {

@@ -93,6 +93,11 @@ def ordered_checks(spark: SparkSession, folder: str) -> DataFrame:
     return report.ordered_checks(_checks(spark, folder)).where("position <= 20").select("sample_id", "seq", "level", "position")
 
 
+def all_ordered_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """All checks of each sample, gravest first."""
+    return report.ordered_checks(_checks(spark, folder)).select("sample_id", "seq", "level", "position")
+
+
 def cell_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return report.provenance(table(spark, folder, "cells"), ["image"])
 
@@ -117,7 +122,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         panel_problems, sample_problems, panels_without_nucleus, channel_match, channel_table, doubly_matched_channels, unmatched_markers, marker_map_lint, name_collisions,
-        selected_samples, unknown_samples, check_summary, ordered_checks, cell_fingerprints, sampled_cells,
+        selected_samples, unknown_samples, check_summary, ordered_checks, all_ordered_checks, cell_fingerprints, sampled_cells,
         streamed_histogram,
     )
 }
