@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from slideloom.operators.labels import iou, label_stats
+from slideloom.operators.segment import same_label_overlap
 from slideloom.operators.spatial import chance_rate, matched, neighbours
 
 
@@ -42,6 +43,22 @@ def compare_methods(a: DataFrame, b: DataFrame, radius: float, tight: float, shi
     )
 
 
+def worst_squares(a: DataFrame, b: DataFrame, side: int, least: int = 15, most: int = 3) -> DataFrame:
+    """(img, gy, gx, n, median_iou, rank): squares of an image where two segmentations with the same numbers agree least.
+
+    Every cell of ``a`` counts in the square of its centroid, with its IoU with the cell of its
+    number in ``b``, 0 where they share nothing. Squares of fewer than ``least`` cells are left out.
+    """
+    size = label_stats(b).select("img", "label", F.col("n").alias("n_b"))
+    cells = label_stats(a).join(size, ["img", "label"], "left").join(same_label_overlap(a, b).withColumnRenamed("n", "shared"), ["img", "label"], "left")
+    cells = cells.fillna(0, ["n_b", "shared"]).withColumn("iou", F.round(F.col("shared") / (F.col("n") + F.col("n_b") - F.col("shared")), 6))
+    squares = cells.groupBy("img", F.floor(F.col("cy") / side).alias("gy"), F.floor(F.col("cx") / side).alias("gx")).agg(
+        F.count("*").alias("n"), F.median("iou").alias("median_iou")
+    )
+    rank = F.row_number().over(Window.partitionBy("img").orderBy("median_iou", "gy", "gx"))
+    return squares.where(F.col("n") >= least).withColumn("rank", rank).where(F.col("rank") <= most)
+
+
 def reference_matches(ref: DataFrame, ours: DataFrame, radius: float, crowd_radius: float, keys: Sequence[str]) -> DataFrame:
     """(keys, id, x, y, found, ours, d, neighbours): each reference point with its match and its crowd."""
     hit = matched(ref, ours, radius, keys).withColumnRenamed("ref", "id")

@@ -281,13 +281,9 @@ def noise_floor(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def worst_agreement_squares(spark: SparkSession, folder: str) -> DataFrame:
-    """The three squares of each image where overlapping labels agree least, of those with five pairs or more."""
+    """The three squares of each image where labels agree least, of those with fifteen cells or more."""
     px = pixels(spark, folder)
-    at = labels.label_stats(_blocks(px, 0)).select("img", F.col("label").alias("a"), F.floor(F.col("cy") / 64).alias("gy"), F.floor(F.col("cx") / 64).alias("gx"))
-    pairs = labels.iou(_blocks(px, 0), _blocks(px, 3)).where("iou >= 0.1").join(at, ["img", "a"])
-    squares = pairs.groupBy("img", "gy", "gx").agg(F.count("*").alias("n"), F.median("iou").alias("median_iou")).where("n >= 5")
-    rank = F.row_number().over(Window.partitionBy("img").orderBy("median_iou", "gy", "gx"))
-    return squares.withColumn("rank", rank).where("rank <= 3")
+    return compare.worst_squares(_blocks(px, 0), _blocks(px, 3), 64)
 
 
 def compare_methods(spark: SparkSession, folder: str) -> DataFrame:
