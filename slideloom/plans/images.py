@@ -228,7 +228,8 @@ def distance_to_background(spark: SparkSession, folder: str) -> DataFrame:
 def watershed_cells(spark: SparkSession, folder: str) -> DataFrame:
     px = pixels(spark, folder).groupBy("img", "y", "x").agg(F.min("v").cast("double").alias("elevation"), F.min("label").alias("l"))
     px = px.withColumn("marker", F.when(F.col("l") % 16 == 0, F.col("l") + 1).otherwise(0)).withColumn("inside", F.col("elevation") < 60000)
-    grown = morph.watershed(px.drop("l"), 64, 16)
+    # 6 um in pixels of 0.5 um, and the weight are the reference's, for an elevation from 0 to 1.
+    grown = morph.propagated(px.drop("l").withColumn("elevation", F.col("elevation") / 65535), 64, 12, 0.5)
     return grown.groupBy("img", "label").agg(F.count("*").alias("n"))
 
 

@@ -144,6 +144,28 @@ def test_watershed_and_prediction_do_not_depend_on_tiles(spark):
     assert sorted(r["count"] for r in one.collect()) == sorted(r["count"] for r in many.collect())
 
 
+def test_propagation_keeps_its_reach_on_tiles_smaller_than_the_image(spark):
+    rng = np.random.default_rng(8)
+    side, grow = 48, 3
+    e, nuclei = rng.random((side, side)), np.zeros((side, side), int)
+    for k in range(40):
+        y, x = rng.integers(0, side - 1, 2)
+        nuclei[y : y + 2, x : x + 2] = k + 1
+    inside = rng.random((side, side)) < 0.9
+    rows = [(1, y, x, float(e[y, x]), int(nuclei[y, x]), bool(inside[y, x])) for y in range(side) for x in range(side)]
+    df = spark.createDataFrame(rows, "img int, y bigint, x bigint, elevation double, marker bigint, inside boolean")
+    whole, tiled = ({(r.y, r.x): r.label for r in morph.propagated(df, tile, grow, 0.5).collect()} for tile in (side, 8))
+    assert tiled == whole
+    at = np.argwhere(nuclei > 0)
+    d = {(y, x): math.sqrt(((at - (y, x)) ** 2).sum(1).min()) for y in range(side) for x in range(side)}
+    assert all(whole[y, x] == nuclei[y, x] for y, x in at)
+    assert all(d[p] <= grow for p in whole) and any(d[p] > grow for p in d) and any(d[p] > 2 for p in whole)
+    # The distance counts: between two nuclei on a plain the border is in the middle, wherever the growth began.
+    plain = [(1, 0, x, 0.5 - x / 1000, 1 if x == 0 else 2 if x == 9 else 0, True) for x in range(10)]
+    plain = spark.createDataFrame(plain, "img int, y bigint, x bigint, elevation double, marker bigint, inside boolean")
+    assert [r.label for r in morph.propagated(plain, 16, 6, 0.5).orderBy("x").collect()] == [1] * 5 + [2] * 5
+
+
 def test_polygons_fill_pixels(spark):
     ring = [(1.0, 1.0), (9.0, 1.0), (9.0, 7.0), (1.0, 7.0)]
     hole = [(3.5, 2.5), (6.5, 2.5), (6.5, 5.5), (3.5, 5.5)]
