@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from slideloom.functions.text import strip
 from slideloom.operators.near import near
 from slideloom.operators.spatial import boundary_distance, segments
+from slideloom.session import checkpointed
 
 NO_REGION = "Unassigned"
+#: Side of the bins on which edges meet, and how far beside an edge its sides are looked at, in px.
+_EDGE_BIN, _BESIDE = 64.0, 1e-5
 
 
 def _class(shapes: DataFrame) -> DataFrame:
@@ -62,6 +66,67 @@ def signed_distance(cells: DataFrame, shapes: DataFrame, focus: str, px_um: floa
     )
 
 
+def union_border(mine: DataFrame) -> DataFrame:
+    """(image, x1, y1, x2, y2): the parts of the edges of shapes that bound the union of the shapes.
+
+    Edges are cut where others of their image cross, touch or end on them; a piece counts if just
+    one of the places beside its middle, ``_BESIDE`` px away, lies inside some shape.
+    """
+    edges = segments(mine, ["image"]).select("image", "x1", "y1", "x2", "y2").where("x1 <> x2 or y1 <> y2").distinct()
+    edges = checkpointed(edges.where(" and ".join(f"not isnan({c}) and {c} is not null" for c in ("x1", "y1", "x2", "y2"))))
+    bins = [F.sequence(*[F.floor(f(f"{c}1", f"{c}2") / _EDGE_BIN).cast("bigint") for f in (F.least, F.greatest)]) for c in "xy"]
+    laid = edges.withColumn("_bx", F.explode(bins[0])).withColumn("_by", F.explode(bins[1]))
+    other = laid.withColumnsRenamed({"x1": "u1", "y1": "v1", "x2": "u2", "y2": "v2"})
+    met = laid.join(other, ["image", "_bx", "_by"]).where("least(x1, x2) <= greatest(u1, u2) and least(u1, u2) <= greatest(x1, x2) and least(y1, y2) <= greatest(v1, v2) and least(v1, v2) <= greatest(y1, y2)")
+    cross = "((x2 - x1) * (v2 - v1) - (y2 - y1) * (u2 - u1))"
+    along = lambda u, v: f"((({u}) - x1) * (x2 - x1) + (({v}) - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
+    at = F.expr(
+        f"if(abs({cross}) > 1e-12, array(((u1 - x1) * (v2 - v1) - (v1 - y1) * (u2 - u1)) / {cross}), array({along('u1', 'v1')}, {along('u2', 'v2')}))"
+    )
+    names = ["image", "x1", "y1", "x2", "y2"]
+    cuts = met.withColumn("t", F.explode(at)).where("t > 0 and t < 1").groupBy(*names).agg(F.array_sort(F.collect_set("t")).alias("ts"))
+    ts = F.concat(F.array(F.lit(0.0)), F.coalesce("ts", F.array().cast("array<double>")), F.array(F.lit(1.0)))
+    pieces = edges.join(cuts, names, "left").withColumn("ts", ts).withColumn("_k", F.explode(F.sequence(F.lit(1), F.size("ts") - 1)))
+    pieces = pieces.withColumn("t1", F.get("ts", F.col("_k") - 1)).withColumn("t2", F.get("ts", F.col("_k")))
+    place = lambda c, t: F.col(f"{c}1") + F.col(t) * (F.col(f"{c}2") - F.col(f"{c}1"))
+    pieces = pieces.select("image", place("x", "t1").alias("x1"), place("y", "t1").alias("y1"), place("x", "t2").alias("x2"), place("y", "t2").alias("y2"))
+    pieces = checkpointed(pieces.where("x1 <> x2 or y1 <> y2").distinct().withColumn("piece", F.monotonically_increasing_id()))
+    length = F.sqrt(F.expr("(x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)"))
+    beside = pieces.withColumn("_s", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_e", (2 * F.col("_s") - 1) * _BESIDE / length)
+    beside = beside.select(
+        "image", (2 * F.col("piece") + F.col("_s")).alias("id"), F.expr("(x1 + x2) / 2 - (y2 - y1) * _e").alias("x"), F.expr("(y1 + y2) / 2 + (x2 - x1) * _e").alias("y")
+    )
+    held = near(beside, mine.select("image", F.col("shape_id").alias("id"), "rings"), distance=-1.0).where("near_kind = 'shape'")
+    sides = held.select("image", "id_a").distinct().groupBy(F.expr("id_a div 2").alias("piece")).agg(F.count("*").alias("_n"))
+    return pieces.join(sides.where("_n = 1"), "piece", "left_semi").drop("piece")
+
+
+def signed_distance_of_all(cells: DataFrame, shapes: DataFrame, focus: str, px_um: float, boundary_um: float) -> DataFrame:
+    """(image, cellID, signed_um, near_boundary) for every cell of an image with shapes of the focus class.
+
+    As :func:`signed_distance`, but from the border of the union of the shapes and however far it
+    is: cells without a border within reach are looked up again with twice the reach.
+    """
+    mine = checkpointed(shapes.join(_class(shapes).where(F.col("class") == focus).select("shape_id").distinct(), "shape_id", "left_semi"))
+    points = cells.where("image is not null and cellID is not null and not isnan(x_px) and not isnan(y_px) and abs(x_px) < double('inf') and abs(y_px) < double('inf')")
+    points = points.groupBy("image", F.col("cellID").alias("id")).agg(F.min("x_px").alias("x"), F.min("y_px").alias("y"))
+    border = checkpointed(union_border(mine))
+    left = checkpointed(points.join(border.select("image").distinct(), "image", "left_semi"))
+    found, limit = [], boundary_um / px_um
+    while not left.isEmpty():
+        d = checkpointed(boundary_distance(left, border.withColumns({"shape_id": F.lit(0), "ring": F.lit(0)}), limit, ["image"]))
+        found.append(d)
+        left = checkpointed(left.join(d, ["image", "id"], "left_anti"))
+        limit *= 2
+    d = reduce(DataFrame.unionByName, found) if found else left.select("image", "id", F.col("x").alias("d"))
+    inside = near(points, mine.select("image", F.col("shape_id").alias("id"), "rings"), distance=-1.0).where("near_kind = 'shape'")
+    inside = inside.select("image", F.col("id_a").alias("id")).distinct().withColumn("_in", F.lit(1))
+    um = F.col("d") * px_um * F.when(F.col("_in").isNull(), -1).otherwise(1)
+    return d.join(inside, ["image", "id"], "left").select(
+        "image", F.col("id").alias("cellID"), F.bround(um, 1).alias("signed_um"), (F.abs(um) < boundary_um).cast("tinyint").alias("near_boundary")
+    )
+
+
 def filled(shapes: DataFrame, factor: float, order: str, holes_clear: bool) -> DataFrame:
     """(image, y, x0, x1, shape_id): polygons as spans of a raster reduced by ``factor``.
 

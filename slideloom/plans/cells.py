@@ -138,6 +138,11 @@ def region_distance(spark: SparkSession, folder: str) -> DataFrame:
     return regions.signed_distance(table(spark, folder, "cells"), table(spark, folder, "shapes"), "Tumor", PX_UM, 25.0)
 
 
+def region_distance_of_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The distance of every cell from the border of all Tumor shapes together."""
+    return regions.signed_distance_of_all(table(spark, folder, "cells"), table(spark, folder, "shapes"), "Tumor", PX_UM, 25.0)
+
+
 def shape_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return spatial.ring_centroids(table(spark, folder, "shapes"))
 
@@ -218,7 +223,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         radius_neighbours, neighbour_counts, knn3_candidates, nearest_residual, greedy_match, chance_rate, best_shift, score_points, score_points_per_field, display_script, reference_found_rate, found_by_crowding,
-        miss_diagnostics, point_map, crowded_squares_topk, region_cell_density, main_region, region_assign, region_distance, shape_centroids, shape_windows, shape_raster,
+        miss_diagnostics, point_map, crowded_squares_topk, region_cell_density, main_region, region_assign, region_distance, region_distance_of_all, shape_centroids, shape_windows, shape_raster,
         roi_tiles_occupancy, region_mix_stratum, roi_allocation, roi_cross_tab, geojson_export, roi_upsert, roi_stale, tile_grid, weighted_share, region_counts,
     )
 }
