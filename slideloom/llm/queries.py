@@ -45,7 +45,7 @@ def p7_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_usage(spark: SparkSession, folder: str) -> DataFrame:
-    return pack.usage(p7_packing(spark, folder), table(spark, folder, "container_sizes"))
+    return pack.usage(tokens.lengths(table(spark, folder, "documents")), table(spark, folder, "container_sizes"))
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -46,10 +46,12 @@ def _calls(texts: list[str | None]) -> Iterator[list[str]]:
         yield call
 
 
-def encoded(texts: list[str | None], folder: str = FOLDER, name: str = NAME) -> Iterator:
-    """The library's encoding of each text; NULL counts as the empty text."""
+def encoded(texts: list[str | None], folder: str = FOLDER, name: str = NAME, offsets: bool = False) -> Iterator:
+    """The library's encoding of each text, with the offsets only where wanted; NULL counts as the empty text."""
+    own = tokenizer(folder, name)
+    batch = own.encode_batch if offsets else own.encode_batch_fast
     for call in _calls(texts):
-        yield from tokenizer(folder, name).encode_batch(call, add_special_tokens=False)
+        yield from batch(call, add_special_tokens=False)
 
 
 def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", folder: str = FOLDER, name: str = NAME) -> DataFrame:
@@ -72,7 +74,7 @@ def lengths(documents: DataFrame, key: str = "doc_id", text: str = "text", folde
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            sizes = [len(e.ids) for e in encoded(batch.column(1).to_pylist(), folder, name)]
+            sizes = [len(e) for e in encoded(batch.column(1).to_pylist(), folder, name)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32())], names=[key, "size"])
 
     rows = spread(documents.select(F.col(key), F.col(text)).where(F.length(F.col(text)) > 0))
@@ -87,7 +89,7 @@ def encode_with_offsets(documents: DataFrame, key: str = "doc_id", text: str = "
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            found = [list(zip(e.ids, *zip(*e.offsets))) if e.ids else [] for e in encoded(batch.column(1).to_pylist(), folder, name)]
+            found = [list(zip(e.ids, *zip(*e.offsets))) if e.ids else [] for e in encoded(batch.column(1).to_pylist(), folder, name, offsets=True)]
             kind = pa.list_(pa.struct([("id", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
             spans = pa.array([[{"id": i, "start": a, "end": b} for i, a, b in x] for x in found], kind)
             yield pa.RecordBatch.from_arrays([batch.column(0), spans], names=[key, "spans"])
