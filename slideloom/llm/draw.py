@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Hash ranges by which a category is cut before it is ranked.
 RANGES = 1024
+#: Ranges per doubling of (1 + priority) by which a draw is cut before its priorities are ordered.
+STEPS = 1024
 
 
 def _same(value: Column) -> Column:
@@ -57,7 +59,8 @@ def draw(rois: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
 
     A category of very many ROIs is first cut by ranges of the hash: cells are summed per
     range, and only ranges that start below target_cells or the floor are ranked, so that a
-    window never holds more than what a draw can take and one range.
+    window never holds more than what a draw can take and one range. The priorities of a
+    draw are summed per step too, before those within a step are ordered.
     """
     t = targets.withColumn("s", _same(F.col("stratum"))).withColumn("r", _same(F.col("role")))
     t = t.select("draw_id", "sample_id", "target_cells", "stratum", "role", "s", "r", "min_rois", (F.col("target_share") * F.col("target_cells")).alias("wanted"))
@@ -81,9 +84,18 @@ def draw(rois: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
     # A target of nothing has no priority beyond its floor.
     priority = F.when(F.col("wanted") > 0, (F.col("until") - F.col("n_cells") / 2.0) / F.col("wanted")).otherwise(F.lit(float("inf")))
     ranked = ranked.withColumn("floor", F.when(F.col("rank") <= F.col("min_rois"), 0).otherwise(1)).withColumn("priority", priority)
-    order = Window.partitionBy("draw_id").orderBy("floor", "priority", "s", "r", "rank")
-    taken = ranked.withColumn("pick_order", F.row_number().over(order)).withColumn(
-        "total", F.sum("n_cells").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ranked.withColumn("step", F.when(F.col("priority") < float("inf"), F.floor(F.log2(1 + F.greatest("priority", F.lit(0.0))) * STEPS)).otherwise(F.lit(1 << 40)))
+
+    # Totals up to a step of the priorities first, then the order within the steps that a draw can reach.
+    steps = ranked.groupBy("draw_id", "floor", "step").agg(F.count("*").alias("m"), F.sum("n_cells").alias("c"), F.max("target_cells").alias("target_cells"))
+    before = Window.partitionBy("draw_id").orderBy("floor", "step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.select(
+        "draw_id", "floor", "step", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("m1"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("c1"), "target_cells"
+    ).where((F.col("floor") == 0) | (F.col("c1") <= F.col("target_cells")))
+    order = Window.partitionBy("draw_id", "floor", "step").orderBy("priority", "s", "r", "rank")
+    taken = ranked.join(steps.drop("target_cells"), ["draw_id", "floor", "step"])
+    taken = taken.withColumn("pick_order", (F.col("m1") + F.row_number().over(order)).cast("int")).withColumn(
+        "total", F.col("c1") + F.sum("n_cells").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
     kept = (F.col("floor") == 0) | (
         (F.col("total") - F.col("n_cells") / 2.0 <= F.col("target_cells")) & (F.col("priority") < float("inf"))
@@ -106,5 +118,11 @@ def report(rois: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def unmet(rois: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
-    """(draw_id, stratum, role): the targets that the operator's report finds unmet."""
-    return report(rois, targets, seed).where("unmet_reason is not null").select("draw_id", "stratum", "role")
+    """(draw_id, stratum, role): the targets that the draw has not met and that no draw could meet.
+
+    What the draw delivers meets a target at once. Of the others, those are given whose
+    candidates are too few or hold too few cells: a draw may also fall short because the
+    floors of its other categories have filled it.
+    """
+    short = (F.col("drawn_cells") < F.col("wanted_cells")) | (F.col("drawn_rois") < F.col("min_rois"))
+    return report(rois, targets, seed).where(short).where("unmet_reason is not null").select("draw_id", "stratum", "role")

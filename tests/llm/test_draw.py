@@ -43,6 +43,23 @@ def test_unit_weights_are_a_divisor_method(spark):
     assert D.draw(r, t).groupBy("stratum").count().orderBy("stratum").collect() == [("A", 7), ("B", 3)]
 
 
+def test_order_within_steps_is_the_order_of_priorities(spark, monkeypatch):
+    r = rois(spark, [("S", f"{c}{k}", 1 + k % 9, c, "x", 1) for c in "AB" for k in range(300)] + [("S", "z", 0, "A", "x", 1), ("S", "y", -3, "B", "x", 1)])
+    t = spark.createDataFrame([(1, "S", 900, "A", "x", 0.7, 2), (1, "S", 900, "B", "x", 0.3, 0), (2, "S", None, "A", "x", 0.7, 1)], TARGETS)
+    rows = lambda: sorted(map(tuple, D.draw(r, t).collect()))
+    fine = rows()
+    monkeypatch.setattr(D, "STEPS", 0)  # one step holds the whole draw
+    assert rows() == fine and len(fine) > 100
+
+
+def test_unmet_needs_the_draw(spark, folder):
+    """The plan holds the windows of the draw; nothing takes its join out."""
+    from slideloom.llm.queries import p2_found
+
+    plan = p2_found(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") >= 4 and "priority" in plan
+
+
 def test_empty(spark):
     r, t = rois(spark, []), spark.createDataFrame([(1, "S", 10, "A", "x", 0.7, 0)], TARGETS)
     assert D.draw(r, t).count() == 0 and D.unmet(r, t).count() == 1 and D.report(r, t.limit(0)).count() == 0
