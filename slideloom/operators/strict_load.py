@@ -96,13 +96,12 @@ def headers(raw: DataFrame) -> DataFrame:
     return first.select("sheet_file", names.alias("header"))
 
 
-def _judged(raw: DataFrame) -> DataFrame:
-    """Records under their header, with the three tests that a load applies.
+def _judged(records: DataFrame, raw: DataFrame) -> DataFrame:
+    """Records under the header that ``raw`` has for them, with the three tests that a load applies.
 
     The header of a file is found by an equi-join; it is broadcast where its measured size
     allows, and a file that holds very many rows is split by the adaptive skew join.
     """
-    records = raw.where(F.col("line_no") > 1)
     pieces = records.select("rec_id", "sheet_file", "sheet_kind", "line_no", "record", _pieces(F.col("record")).alias("pieces"))
     joined = pieces.join(headers(raw), "sheet_file", "left")
     return (
@@ -121,18 +120,18 @@ def strict_load(raw: DataFrame) -> DataFrame:
     never conforms, repeated records each load under their own rec_id, an empty table loads
     nothing.
     """
-    ok = _judged(raw).where(F.col("quoting_ok") & F.col("count_ok")).where(_value_ok())
+    ok = _judged(raw.where(F.col("line_no") > 1), raw).where(F.col("quoting_ok") & F.col("count_ok")).where(_value_ok())
     return ok.select("rec_id", "sheet_file", "sheet_kind", "line_no", "header", "fields")
 
 
 def rejected(raw: DataFrame) -> DataFrame:
     """(rec_id, reason) of each record that :func:`strict_load` does not load.
 
-    The loaded offsets are subtracted from the raw ones; the first reason that holds of
-    ``quoting``, ``column_count`` and ``value`` is given.
+    The loaded offsets are subtracted from the raw ones, and only what remains is diagnosed:
+    the first reason that holds of ``quoting``, ``column_count`` and ``value`` is given.
     """
-    rest = raw.join(strict_load(raw).select("rec_id"), "rec_id", "left_anti").select("rec_id")
-    remainder = _judged(raw).join(rest, "rec_id", "left_semi")
+    rest = raw.where(F.col("line_no") > 1).join(strict_load(raw).select("rec_id"), "rec_id", "left_anti")
+    remainder = _judged(rest, raw)
     reason = (
         F.when(~F.col("quoting_ok"), "quoting").when(~F.col("count_ok"), "column_count").when(~_value_ok(), "value")
     )
