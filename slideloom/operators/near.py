@@ -83,36 +83,49 @@ def close_pairs(x: np.ndarray, y: np.ndarray, own: np.ndarray, distance: float,
     if len(x) < 2:
         return none, none
     tree, limit = _Tree(x, y), distance * distance
-    a, b, sure = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, bool)
+    first, second = [none], [none]
+
+    def give(i: np.ndarray, j: np.ndarray, same: np.ndarray) -> None:
+        good = (i < tree.n) & (j < tree.n) & (~same | (i < j))
+        i, j = i[good], j[good]
+        good = own[i] != own[j] if crossed else own[i] | own[j]
+        first.append(i[good])
+        second.append(j[good])
+
+    def all_of(a: np.ndarray, b: np.ndarray, level: int) -> None:
+        """Every pair of points of two nodes, without a distance taken."""
+        nodes = tree.order.reshape(1 << level, -1)
+        size = nodes.shape[1]
+        step = max(1, _CHUNK // (size * size))
+        for at in range(0, len(a), step):
+            p, q = nodes[a[at : at + step]], nodes[b[at : at + step]]
+            shape = (len(p), size, size)
+            i, j = np.broadcast_to(p[:, :, None], shape).reshape(-1), np.broadcast_to(q[:, None, :], shape).reshape(-1)
+            give(i, j, np.repeat(a[at : at + step] == b[at : at + step], size * size))
+
+    a, b = np.zeros(1, np.int64), np.zeros(1, np.int64)
     for level in range(tree.depth + 1):
         x0, x1, y0, y1 = tree.boxes[level]
         dx = np.maximum(0, np.maximum(x0[a] - x1[b], x0[b] - x1[a]))
         dy = np.maximum(0, np.maximum(y0[a] - y1[b], y0[b] - y1[a]))
-        keep = sure | (dx * dx + dy * dy <= limit)
-        a, b, sure = a[keep], b[keep], sure[keep]
+        keep = dx * dx + dy * dy <= limit
+        a, b = a[keep], b[keep]
         fx, fy = np.maximum(x1[a], x1[b]) - np.minimum(x0[a], x0[b]), np.maximum(y1[a], y1[b]) - np.minimum(y0[a], y0[b])
-        sure = sure | (fx * fx + fy * fy <= limit)
+        sure = fx * fx + fy * fy <= limit
+        all_of(a[sure], b[sure], level)
+        a, b = a[~sure], b[~sure]
         if level < tree.depth:
             a2, b2 = 2 * a, 2 * b
             cross = a != b
-            a, b, sure = (
-                np.concatenate([a2, a2 + 1, a2, (a2 + 1)[cross]]),
-                np.concatenate([b2, b2 + 1, b2 + 1, b2[cross]]),
-                np.concatenate([sure, sure, sure, sure[cross]]),
-            )
-    first, second = [], []
+            a = np.concatenate([a2, a2 + 1, a2, (a2 + 1)[cross]])
+            b = np.concatenate([b2, b2 + 1, b2 + 1, b2[cross]])
     size = tree.buckets.shape[1]
     step = max(1, _CHUNK // (size * size))
     for at in range(0, len(a), step):
         p, q = tree.buckets[a[at : at + step]], tree.buckets[b[at : at + step]]
         d = (tree.x[p][:, :, None] - tree.x[q][:, None, :]) ** 2 + (tree.y[p][:, :, None] - tree.y[q][:, None, :]) ** 2
-        m, i, j = np.nonzero((d <= limit) | sure[at : at + step, None, None])
-        i, j, same = p[m, i], q[m, j], (a[at : at + step] == b[at : at + step])[m]
-        good = (i < tree.n) & (j < tree.n) & (~same | (i < j))
-        i, j = i[good], j[good]
-        good = own[i] != own[j] if crossed else own[i] | own[j]
-        first.append(i[good])
-        second.append(j[good])
+        m, i, j = np.nonzero(d <= limit)
+        give(p[m, i], q[m, j], (a[at : at + step] == b[at : at + step])[m])
     return np.concatenate(first), np.concatenate(second)
 
 
@@ -158,9 +171,11 @@ def points_within(tree: _Tree, ring: np.ndarray, edges: np.ndarray) -> np.ndarra
         nodes, x0, x1, y0, y1 = nodes[outer], x0[outer], x1[outer], y0[outer], y1[outer]
         if not len(nodes):
             break
-        touched = (
-            (ex0[None] <= x1[:, None]) & (ex1[None] >= x0[:, None]) & (ey0[None] <= y1[:, None]) & (ey1[None] >= y0[:, None])
-        ).any(1)
+        touched = np.zeros(len(nodes), bool)
+        step = max(1, _CHUNK // len(edges))
+        for at in range(0, len(nodes), step):
+            u0, u1, v0, v1 = (v[at : at + step, None] for v in (x0, x1, y0, y1))
+            touched[at : at + step] = ((ex0[None] <= u1) & (ex1[None] >= u0) & (ey0[None] <= v1) & (ey1[None] >= v0)).any(1)
         clear = np.flatnonzero(~touched)
         if len(clear):
             whole = nodes[clear[held(x0[clear], y0[clear])]]
@@ -219,6 +234,38 @@ def _task(distance: float):
     return found_in
 
 
+_ODD = pa.schema([("image", pa.string()), ("id_a", pa.int64()), ("id_b", pa.int64()), ("ring", pa.int32())])
+#: Points for which the edges of their heights are looked up at once.
+_BAND = 256
+
+
+def _odd_in(key: tuple, table: pa.Table) -> pa.Table:
+    """(image, point, shape, ring) where a ray to the right of the point crosses these edges an odd number of times."""
+    col = lambda name: table.column(name).to_numpy()
+    ids, x, y, edge = col("id"), col("x"), col("y"), col("kind") == _EDGE
+    rows = np.unique(np.rec.fromarrays([y[~edge], x[~edge], ids[~edge]], names="y,x,id")) if not edge.all() else np.rec.fromarrays([x[:0], x[:0], ids[:0]], names="y,x,id")
+    shape, ring = ids[edge], col("ring")[edge].astype(np.int32)
+    edges = np.stack([x[edge], y[edge], col("x2")[edge], col("y2")[edge]], 1)
+    by = np.lexsort((ring, shape))
+    shape, ring, edges = shape[by], ring[by], edges[by]
+    low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
+    a, b, r = [], [], []
+    if len(rows):
+        starts = np.flatnonzero(np.r_[True, (shape[1:] != shape[:-1]) | (ring[1:] != ring[:-1])]) if len(shape) else []
+        for at, to in zip(starts, [*starts[1:], len(shape)]):
+            for first in range(0, len(rows), _BAND):
+                band = rows[first : first + _BAND]
+                met = edges[at:to][(low[at:to] <= band.y[-1]) & (high[at:to] >= band.y[0])]
+                odd = band.id[_odd(band.x, band.y, met)] if len(met) else band.id[:0]
+                a.append(odd)
+                b.append(np.full(len(odd), shape[at]))
+                r.append(np.full(len(odd), ring[at]))
+    whole = lambda parts, kind: np.concatenate([np.empty(0, kind), *parts]).astype(kind)
+    a, b, r = whole(a, np.int64), whole(b, np.int64), whole(r, np.int32)
+    image = pa.array([key[0].as_py()], pa.string()).take(pa.array(np.zeros(len(a), np.int64)))
+    return pa.table([image, pa.array(a), pa.array(b), pa.array(r)], schema=_ODD)
+
+
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
     return values[at], at, np.r_[at[1:], len(values)]
@@ -338,6 +385,7 @@ class _QuadTree:
         pairs = pairs.where((F.struct("a_tx", "a_ty") <= F.struct("b_tx", "b_ty")) & (_gap("a_", "b_") <= limit))
         done = []
         for k in range(self.levels, 0, -1):
+            pairs = checkpointed(pairs)  # few rows; else each level's plan would hold those above it
             both = F.col("a_leaf") & F.col("b_leaf")
             done.append(pairs.where(both))
             open_ = pairs.where(~both).select(
@@ -350,7 +398,7 @@ class _QuadTree:
             pairs = open_.join(a, ["image", "uk", "utx", "uty"]).join(b, ["image", "vk", "vtx", "vty"])
             once = ~F.col("_self") | (F.struct("a_tx", "a_ty") <= F.struct("b_tx", "b_ty"))
             pairs = pairs.where(once & (_gap("a_", "b_") <= limit)).drop("_self", "uk", "utx", "uty", "vk", "vtx", "vty")
-        return _union([*done, pairs])
+        return checkpointed(_union([*done, pairs]))
 
     def leaf_shapes(self, shapes: DataFrame) -> DataFrame:
         """(leaf, shape) for shapes, themselves leaves with a box, whose box meets the leaf's."""
@@ -358,6 +406,7 @@ class _QuadTree:
         pairs = here.join(_prefixed(self.at(self.levels), "a_"), "image").where(_gap("s_", "a_") <= 0)
         done = []
         for k in range(self.levels, 0, -1):
+            pairs = checkpointed(pairs)
             done.append(pairs.where("a_leaf"))
             open_ = pairs.where(~F.col("a_leaf")).select(
                 "image", *[c for c in here.columns if c != "image"], F.col("a_k").alias("uk"), F.col("a_tx").alias("utx"), F.col("a_ty").alias("uty")
@@ -368,6 +417,7 @@ class _QuadTree:
 
 
 #: A task of two blocks names the second one in ``pair``.
+_LEAF = ["image", "k", "tx", "ty"]
 _TASK = ("image", "k", "tx", "ty", "block", "pair")
 _TARGET = "array<struct<k:int,tx:bigint,ty:bigint,blocks:int,bx0:double,bx1:double,by0:double,by1:double,role:int>>"
 #: What a point does for a leaf it may be near to: it goes to the leaf's own task, or, where
@@ -440,34 +490,53 @@ def _point_rows(tree: _QuadTree, distance: float) -> DataFrame:
     )
 
 
-def _shape_rows(shapes: DataFrame, tree: _QuadTree) -> DataFrame:
-    """Each edge of a shape as a row of the tasks whose points it may enclose."""
+def _edge_rows(shapes: DataFrame, tree: _QuadTree) -> tuple[DataFrame, DataFrame]:
+    """Each edge of a shape with the leaves whose points it may enclose; and how many edges a leaf's shapes have at most."""
     point_ok = lambda p: p.isNotNull() & p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
     once = shapes.groupBy("image", "id").agg(F.min("rings").alias("rings"))  # a repeated row counts once
     rings = once.where(F.col("image").isNotNull() & (F.size("rings") > 0) & (F.size(F.get("rings", F.lit(0))) >= 3))
-    rings = rings.select("image", "id", F.posexplode("rings").alias("ring", "points"))
-    rings = rings.select("image", "id", "ring", F.filter("points", point_ok).alias("p")).where(F.size("p") >= 3)
+    size = F.aggregate("rings", F.lit(0), lambda n, r: n + F.coalesce(F.size(r), F.lit(0))).alias("edges")
+    rings = rings.select("image", "id", size, F.posexplode("rings").alias("ring", "points"))
+    rings = rings.select("image", "id", "edges", "ring", F.filter("points", point_ok).alias("p")).where(F.size("p") >= 3)
     ends = F.concat(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))), F.slice("p", 1, 1))
     edges = rings.select("image", "id", "ring", F.explode(F.arrays_zip(F.col("p").alias("f"), ends.alias("t"))).alias("e"))
     edges = edges.select(
         "image", "id", "ring", F.col("e.f.x").alias("x"), F.col("e.f.y").alias("y"), F.col("e.t.x").alias("x2"), F.col("e.t.y").alias("y2")
     )
     boxes = rings.where("ring = 0").select(
-        "image", "id",
+        "image", "id", "edges",
         F.array_min("p.x").alias("bx0"), F.array_max("p.x").alias("bx1"), F.array_min("p.y").alias("by0"), F.array_max("p.y").alias("by1"),
     )
-    pairs = tree.leaf_shapes(boxes).select(
-        "image", F.col("s_id").alias("id"), F.col("a_k").alias("k"), F.col("a_tx").alias("tx"), F.col("a_ty").alias("ty"), "a_blocks", *[f"a_{c}" for c in _BOX]
-    )
+    pairs = checkpointed(tree.leaf_shapes(boxes).select(
+        "image", F.col("s_id").alias("id"), F.col("s_edges").alias("edges"), F.col("a_k").alias("k"), F.col("a_tx").alias("tx"), F.col("a_ty").alias("ty"), "a_blocks", *[f"a_{c}" for c in _BOX]
+    ))
     # A ray to the right of a leaf's points meets only edges of their height and not left of them.
     met = (F.greatest("y", "y2") >= F.col("a_by0")) & (F.least("y", "y2") <= F.col("a_by1")) & (F.greatest("x", "x2") >= F.col("a_bx0"))
-    rows = edges.join(pairs, ["image", "id"]).where(met)
+    rows = edges.join(pairs.drop("edges"), ["image", "id"]).where(met).select("image", "k", "tx", "ty", "a_blocks", "id", "x", "y", "x2", "y2", "ring")
+    return rows, pairs.groupBy(*_LEAF).agg(F.sum("edges").alias("edges"))
+
+
+def _with_block(rows: DataFrame, pair: Column) -> DataFrame:
+    """Edges as rows of the tasks of each block of their leaf."""
     return rows.select(
-        "image", "k", "tx", "ty", F.explode(F.sequence(F.lit(0), F.col("a_blocks") - 1)).alias("block"), F.lit(None).cast("string").alias("pair"),
+        *_LEAF, F.explode(F.sequence(F.lit(0), F.col("a_blocks") - 1)).alias("block"), pair.alias("pair"),
         F.lit(_EDGE).cast("tinyint").alias("kind"), "id", "x", "y", "x2", "y2", "ring",
     )
 
 
+def _within_many_edges(points: DataFrame, rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``shape`` rows of the leaves whose edges are cut into ``parts``: crossings are counted per part, then added."""
+    name = lambda part: F.concat(F.lit("e"), part)
+    cut = rows.join(parts, _LEAF)
+    edges = _with_block(cut, name(F.pmod(F.xxhash64("id", "ring", "x", "y", "x2", "y2"), F.col("parts"))))
+    own = points.where(F.col("pair").isNull() & (F.col("kind") == _POINT)).join(parts, _LEAF)
+    own = own.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("pair", name(F.col("_part"))).drop("parts", "_part")
+    odd = own.unionByName(edges).groupBy(*_TASK).applyInArrow(_odd_in, "image string, id_a bigint, id_b bigint, ring int")
+    odd = odd.groupBy("image", "id_a", "id_b", "ring").agg(F.count("*").alias("n")).where("n % 2 = 1")
+    inside = odd.groupBy("image", "id_a", "id_b").agg(F.min("ring").alias("first"), F.count("*").alias("n")).where("first = 0 and n = 1")
+    return inside.select("image", F.lit("shape").alias("near_kind"), "id_a", "id_b")
+
+
 def near(points: DataFrame, shapes: DataFrame | None = None, distance: float = 4.0, leaf_points: int = LEAF_POINTS) -> DataFrame:
     """(image, near_kind, id_a, id_b): what each point is near to or within.
 
@@ -485,11 +554,20 @@ def near(points: DataFrame, shapes: DataFrame | None = None, distance: float = 4
     points = points.select("image", F.col("id").cast("bigint").alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     points = points.where(F.col("image").isNotNull() & F.col("id").isNotNull() & fine("x") & fine("y"))
     tree = _QuadTree(points, leaf_points, distance)
+    found = "image string, near_kind string, id_a bigint, id_b bigint"
     rows = _point_rows(tree, distance)
-    if shapes is not None:
-        rows = rows.unionByName(_shape_rows(shapes.select("image", F.col("id").cast("bigint").alias("id"), "rings"), tree))
-    found = rows.groupBy(*_TASK).applyInArrow(_task(distance), "image string, near_kind string, id_a bigint, id_b bigint")
-    return found
+    if shapes is None:
+        return rows.groupBy(*_TASK).applyInArrow(_task(distance), found)
+    edges, most = _edge_rows(shapes.select("image", F.col("id").cast("bigint").alias("id"), "rings"), tree)
+    crowded = most.where(F.col("edges") > leaf_points).select(*_LEAF)
+    few, none = edges, F.lit(None).cast("string")
+    parts = None
+    if not crowded.isEmpty():
+        many = edges.join(crowded, _LEAF, "left_semi").groupBy(*_LEAF).agg(F.count("*").alias("n")).where(F.col("n") > leaf_points)
+        parts = checkpointed(many.select(*_LEAF, F.ceil(F.col("n") / leaf_points).cast("int").alias("parts")))
+        few = edges.join(parts, _LEAF, "left_anti")
+    near_found = rows.unionByName(_with_block(few, none)).groupBy(*_TASK).applyInArrow(_task(distance), found)
+    return near_found if parts is None else near_found.unionByName(_within_many_edges(rows, edges, parts))
 
 
 def cells_near(cells: DataFrame, shapes: DataFrame, distance: float = 4.0) -> DataFrame:

@@ -82,6 +82,32 @@ def test_regions_only(spark):
     want = {x for x in brute(points, shapes, 0.0) if x[1] == "shape"}
     assert set(found(spark, points, shapes, -1.0, leaf_points=20)) == want
 
+def test_pairs_certainly_near_are_taken_whole(monkeypatch):
+    """Points of one small patch are all near one another; no distance is needed to know."""
+    rng = np.random.default_rng(5)
+    x, y = rng.uniform(0, 2, 400), rng.uniform(0, 2, 400)
+    monkeypatch.setattr(np, "nonzero", None)  # the test of single points
+    i, j = N.close_pairs(x, y, np.ones(400, bool), 4.0)
+    assert len(i) == 400 * 399 // 2 == len(set(zip(i.tolist(), j.tolist())))
+
+
+@pytest.mark.parametrize("leaf_points", [30, 200])
+def test_shapes_of_very_many_edges(spark, leaf_points, monkeypatch):
+    """Edges beyond the limit are cut into parts, each with a task of its own, and give the same rows."""
+    rnd = random.Random(leaf_points)
+    points = [("a", k, rnd.uniform(0, 300), rnd.uniform(0, 300), "") for k in range(250)]
+    shapes = [("a", 500 + k, [star(rnd, 150, 150, 140, 900), star(rnd, 150, 150, 40, 300)][: 1 + k % 2], "") for k in range(3)]
+    shapes += [("a", 600, [star(rnd, 60, 60, 50)], "")]
+    parts = []
+    within = N._within_many_edges
+    monkeypatch.setattr(N, "_within_many_edges", lambda p, e, n: parts.append((p, e, n)) or within(p, e, n))
+    out = found(spark, points, shapes, 4.0, leaf_points=leaf_points)
+    assert len(out) == len(set(out)) and set(out) == brute(points, shapes, 4.0) and parts
+    _, edges, n = parts[0]
+    cut = edges.join(n, N._LEAF).selectExpr("*", "pmod(xxhash64(id, ring, x, y, x2, y2), parts) as part").groupBy(*N._LEAF, "part").count()
+    assert cut.agg({"count": "max"}).first()[0] <= 2 * leaf_points
+
+
 def group_sizes(spark, points, leaf_points):
     tree = N._QuadTree(points, leaf_points, 4.0)
     return [r["count"] for r in N._point_rows(tree, 4.0).groupBy(*N._TASK).count().collect()], tree
