@@ -72,14 +72,29 @@ def channel_flags(zero_pct: float = 50.0) -> Column:
     return F.array_join(F.filter(flags, lambda x: x.isNotNull()), "; ")
 
 
-def tile_flags(tiles: DataFrame, z_flag: float = 3.5, z_aggregate: float = 5.0) -> DataFrame:
-    """``tiles`` with flags from focus_z, nuclear_z, aggregate_z and p99_9 against tissue_p99_9."""
-    flags = F.array(
-        F.when(F.col("focus_z") < -z_flag, "focus"),
-        F.when(F.col("nuclear_z") > z_flag, "fold"),
-        F.when((F.col("aggregate_z") > z_aggregate) & (F.col("p99_9") > F.col("tissue_p99_9")), "aggregate"),
+def tile_flags(
+    values: DataFrame, focus: DataFrame, kinds: DataFrame, tissue_top: DataFrame, nuclear: int, keys: Sequence[str], z_flag: float = 3.5, z_aggregate: float = 5.0
+) -> DataFrame:
+    """(keys, ty, tx, kind, focus_z, nuclear_z, flags, aggregate_channels) of tissue and background tiles.
+
+    Scores are taken over the tissue tiles of an image: ``focus`` of the nuclear channel, its
+    medians, and for each other channel the logarithm of p99_9; ``values`` come from
+    :func:`tile_values`. A channel flags a tile where that score is above ``z_aggregate`` and
+    its p99_9 above ``tissue_top`` (keys, c, top), that of the whole tissue.
+    """
+    tile = [*keys, "ty", "tx"]
+    tissue = kinds.where("kind = 'tissue'").select(*tile)
+    own = values.join(tissue, tile)
+    nuclei = robust_z(own.where(F.col("c") == nuclear), keys, "median", "nuclear_z").select(*tile, "nuclear_z")
+    sharp = robust_z(focus.join(tissue, tile, "left_semi"), keys, "focus", "focus_z").select(*tile, "focus_z")
+    others = robust_z(own.where(F.col("c") != nuclear).withColumn("tail", F.log1p("p99_9")), [*keys, "c"], "tail", "aggregate_z").join(tissue_top, [*keys, "c"])
+    hits = others.where((F.col("aggregate_z") > z_aggregate) & (F.col("p99_9") > F.col("top")))
+    channels = hits_per_tile(hits, tile, name="c").withColumnRenamed("channels", "aggregate_channels")
+    flags = F.array(F.when(F.col("focus_z") < -z_flag, "focus"), F.when(F.col("nuclear_z") > z_flag, "fold"))
+    shown = kinds.where("kind <> 'mixed'").join(nuclei, tile, "left").join(sharp, tile, "left").join(channels, tile, "left")
+    return shown.select(
+        *tile, "kind", "focus_z", "nuclear_z", F.array_join(F.filter(flags, lambda x: x.isNotNull()), ";").alias("flags"), F.coalesce("aggregate_channels", F.lit("")).alias("aggregate_channels")
     )
-    return tiles.withColumn("flags", F.array_join(F.filter(flags, lambda x: x.isNotNull()), ";"))
 
 
 def worst_tiles(tiles: DataFrame, columns: Sequence[str], order: Sequence[str], limit: int = 8) -> DataFrame:
@@ -90,7 +105,7 @@ def worst_tiles(tiles: DataFrame, columns: Sequence[str], order: Sequence[str],
 
 def hits_per_tile(hits: DataFrame, keys: Sequence[str], channel: str = "c", name: str = "marker") -> DataFrame:
     """(keys, channels): the channels that flag a tile, joined in channel order."""
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(channel, name))), lambda s: s[name])
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(channel).alias("at"), F.col(name).cast("string").alias("name")))), lambda s: s["name"])
     return hits.groupBy(*keys).agg(F.array_join(listed, ";").alias("channels"))
 
 
@@ -124,13 +139,13 @@ def region_properties(pixels: DataFrame, keys: Sequence[str], px_um: float) -> D
 
 
 def smoothed(image: np.ndarray, sigma: float) -> np.ndarray:
-    """A Gaussian of standard deviation ``sigma``, cut at four of them, edges mirrored."""
+    """A Gaussian of standard deviation ``sigma``, cut at four of them, the image carried on beyond its edges."""
     radius = int(4 * sigma + 0.5)
     kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
     kernel /= kernel.sum()
     for axis in (0, 1):
         pad = [(radius, radius) if a == axis else (0, 0) for a in (0, 1)]
-        wide = np.pad(image, pad, mode="symmetric")
+        wide = np.pad(image, pad, mode="edge")
         image = sum(w * np.take(wide, range(k, k + image.shape[axis]), axis=axis) for k, w in enumerate(kernel))
     return image
 
@@ -143,10 +158,11 @@ def focus(image: np.ndarray, scale: float) -> float:
     return math.log10(lap.var() + 1e-12)
 
 
-def tile_focus(pixels: DataFrame, size: int, keys: Sequence[str], scale: float) -> DataFrame:
+def tile_focus(pixels: DataFrame, size: int, keys: Sequence[str]) -> DataFrame:
     """(keys, ty, tx, focus): the focus score of each tile; places without a pixel count as 0.
 
-    A group is one tile of at most size x size pixels.
+    The scale is the tile's own range from percentile 1 to 99, at least 1. A group is one tile
+    of at most size x size pixels.
     """
     tile = [F.floor(F.col(c) / size).cast("bigint").alias(f"t{c}") for c in ("y", "x")]
     placed = pixels.groupBy(*keys, "y", "x").agg(F.max("v").alias("v")).select(*keys, *tile, "y", "x", "v")
@@ -155,8 +171,9 @@ def tile_focus(pixels: DataFrame, size: int, keys: Sequence[str], scale: float)
     def score(rows: pd.DataFrame) -> pd.DataFrame:
         image = np.zeros((size, size))
         image[rows["y"] % size, rows["x"] % size] = rows["v"]
+        low, high = np.percentile(image, [1, 99])
         out = rows[[*keys, "ty", "tx"]].head(1).copy()
-        out["focus"] = round(focus(image, scale), 6)
+        out["focus"] = round(focus(image, max(high - low, 1.0)), 6)
         return out
 
     return placed.groupBy(*keys, "ty", "tx").applyInPandas(score, f"{head}, ty bigint, tx bigint, focus double")

@@ -286,6 +286,29 @@ _UPSERT = """
 _GRID = _C + """,
     z as (select img, floor(max(y) + 1)::int as h, floor(max(x) + 1)::int as w from c group by 1),
     t as (select img, h, w, unnest(range(0, h, 512))::int as y0 from z), u as (select *, unnest(range(0, w, 512))::int as x0 from t)"""
+
+
+def _greedy(edges: str, keys: str) -> str:
+    """``gr``: one-to-one pairs of ``edges``, nearest first: each round takes pairs that are first at both ends."""
+    return f"""
+    gr as (select *, false as chosen from ({edges}) union all
+      select * exclude (a, b, taken), a = 1 and b = 1 as chosen from (
+        select *, bool_or(a = 1 and b = 1) over (partition by {keys}, ref) or bool_or(a = 1 and b = 1) over (partition by {keys}, ours) as taken from (
+          select * exclude (chosen), row_number() over (partition by {keys}, ref order by d, ref, ours) as a, row_number() over (partition by {keys}, ours order by d, ref, ours) as b
+          from gr where not chosen)) where (a = 1 and b = 1) or not taken)"""
+
+
+_SHIFTS = """,
+    sf as (select * from (values (1, 40.0, 15.0), (2, -25.0, 30.0), (3, 12.0, -44.0), (4, -33.0, -18.0)) v(shift, dx, dy)),
+    se as (select shift, p.img, p.id as ref, q.id as ours, sqrt((p.x + dx - q.x) ** 2 + (p.y + dy - q.y) ** 2) as d
+           from p cross join sf join q on p.img = q.img where (p.x + dx - q.x) ** 2 + (p.y + dy - q.y) ** 2 <= 3600),
+    sk as (select * exclude (r) from (select *, row_number() over (partition by img, shift, ref order by d, ours) as r from se) where r <= 3)"""
+_SHIFTED = _P + _SHIFTS
+_CHANCE = """
+    cn as (select img, shift, count(*) as k from gr where chosen group by 1, 2), ca as (select img, shift, count(*) as n from p cross join sf group by 1, 2),
+    cr as (select img, round(avg(coalesce(k, 0) / n), 6) as rate from ca left join cn using (img, shift) group by 1)"""
+_FEATURE = """'{"type":"Feature","geometry":{"type":"Polygon","coordinates":[[' || string_agg('[' || px || ',' || py || ']', ',' order by i) || ']]},"properties":{"objectType":"annotation","name":"'
+    || roi_id || '","classification":{"name":"' || role || '","color":' || case when role = 'validation' then '[200,60,0]' else '[0,160,80]' end || '}}}'"""
 SQL = {
     "display_script": f"""with {_C}, h as (select img as marker, floor(x)::bigint as v, count(*) as n from c group by 1, 2),
         cum as (select *, sum(n) over (partition by marker order by v) / sum(n) over (partition by marker) as share from h),
@@ -295,6 +318,15 @@ SQL = {
     "neighbour_counts": f"with {_NEAR} select least(neighbours, 8) as neighbours, count(*) as n from nb group by 1",
     "knn3_candidates": f"with {_KNN} select img, ref, ours, round(d, 6) as d, rank::int as rank from k where rank <= 3",
     "nearest_residual": f"with {_KNN} select img, count(*) as n, round(median(d), 6) as median_d from k where rank = 1 group by 1",
+    "greedy_match": f"""with recursive {_KNN}, {_greedy("select img, ref, ours, d from k where rank <= 3", "img")} select img, ref, ours, round(d, 6) as d from gr where chosen""",
+    "chance_rate": f"""with recursive {_SHIFTED}, {_greedy("select img, shift, ref, ours, d from sk", "img, shift")}, {_CHANCE} select img, rate from cr""",
+    "reference_found_rate": f"""with recursive {_KNN}{_SHIFTS}, {_greedy("select img, 0 as shift, ref, ours, d from k where rank <= 3 union all select img, shift, ref, ours, d from sk", "img, shift")},
+        {_CHANCE.replace("where chosen", "where chosen and shift > 0")}, m as (select img, ref as id, d from gr where chosen and shift = 0),
+        r as (select p.img, count(*) as n, round(avg((m.id is not null)::int), 6) as found_rate, round(median(d), 6) as median_d from p left join m on m.img = p.img and m.id = p.id group by 1)
+        select img, n, found_rate, rate as chance, found_rate >= 3 * rate as trusted, median_d from r left join cr using (img)""",
+    "geojson_export": f"""with {_ALLOC}, co as (select al.*, i, case when i in (2, 3) then x0 + 1000 else x0 end as px, case when i in (3, 4) then y0 + 1000 else y0 end as py from al cross join range(1, 6) r(i)),
+        fe as (select img, roi_id, {_FEATURE} as feature from co group by img, roi_id, role)
+        select img, '{{"type":"FeatureCollection","features":[' || string_agg(feature, ',' order by roi_id) || ']}}' as geojson from fe group by 1""",
     "best_shift": f"""with {_P}, v as (select p.img, round_even((q.x - p.x) / 10, 0)::int as dx, round_even((q.y - p.y) / 10, 0)::int as dy, count(*) as votes
         from p join q on p.img = q.img where (p.x - q.x) ** 2 + (p.y - q.y) ** 2 <= 6400 group by 1, 2, 3)
         select img, dx, dy, votes from (select *, row_number() over (partition by img order by votes desc, dx * dx + dy * dy, dx, dy) as r from v) where r = 1""",

@@ -75,17 +75,18 @@ def tile_kinds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tile_flags(spark: SparkSession, folder: str) -> DataFrame:
-    """Tiles whose values stand out, flagged by scores of their median and of the tail."""
-    tiles = qc.tile_values(pixels(spark, folder), 16, ["img", "c"])
-    whole = pixels(spark, folder).groupBy("img", "c").agg(F.percentile("v", F.lit(0.9)).alias("tissue_p99_9"))
-    z = qc.robust_z(tiles, ["img", "c"], "median", "nuclear_z")
-    z = qc.robust_z(z.withColumn("tail", F.log1p("p99_9")), ["img", "c"], "tail", "aggregate_z").join(whole, ["img", "c"]).withColumn("focus_z", F.round(-F.col("nuclear_z"), 6))
-    return qc.tile_flags(z, 1.5, 2.0).select("img", "c", "ty", "tx", "nuclear_z", "flags").where("flags <> ''")
+    """Tiles out of focus, folded, or with aggregates; channel 0 is the nuclear one."""
+    px = pixels(spark, folder)
+    values, focus = qc.tile_values(px, 32, ["img", "c"]), qc.tile_focus(px.where("c = 0"), 32, ["img"])
+    top = hist.percentiles(hist.histogram(px.where("label >= 16"), ["img", "c"]), ["img", "c"], (99.9,)).withColumnRenamed("p99_9", "top")
+    return qc.tile_flags(values, focus, tile_kinds(spark, folder), top, 0, ["img"])
 
 
 def flagged_channels(spark: SparkSession, folder: str) -> DataFrame:
-    """Which channels flag each tile."""
-    hits = tile_flags(spark, folder).withColumn("marker", F.concat(F.lit("ch"), "c"))
+    """Which channels have their brightest value of all in each tile."""
+    px = pixels(spark, folder)
+    tiles, top = qc.tile_values(px, 32, ["img", "c"]), px.groupBy("img", "c").agg(F.percentile("v", F.lit(0.999)).alias("top"))
+    hits = tiles.join(top, ["img", "c"]).where("p99_9 >= top").withColumn("marker", F.concat(F.lit("ch"), "c"))
     return qc.hits_per_tile(hits, ["img", "ty", "tx"])
 
 
@@ -95,7 +96,7 @@ def worst_tiles_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tile_focus(spark: SparkSession, folder: str) -> DataFrame:
-    return qc.tile_focus(pixels(spark, folder).where("c = 0"), 32, ["img", "c"], 256.0)
+    return qc.tile_focus(pixels(spark, folder), 32, ["img", "c"])
 
 
 def nodata_pixels(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,22 +179,12 @@ def roi_cut_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dilated_labels(spark: SparkSession, folder: str) -> DataFrame:
-    runs = labels.spans(_once(pixels(spark, folder), "label")).where("label < 4")
-    return labels.label_stats(labels.dilated(runs, 2, SIDE, SIDE)).select("img", "label", "n")
-
-
-def expanded_labels(spark: SparkSession, folder: str) -> DataFrame:
-    runs = labels.spans(_once(pixels(spark, folder), "label")).where("label < 4")
-    return labels.expanded(runs, 2, SIDE, SIDE)
-
-
-def dilated_all_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Every label grown by a diamond."""
     runs = labels.spans(_once(pixels(spark, folder), "label"))
     return labels.label_stats(labels.dilated(runs, 2, SIDE, SIDE)).select("img", "label", "n")
 
 
-def expanded_all_labels(spark: SparkSession, folder: str) -> DataFrame:
+def expanded_labels(spark: SparkSession, folder: str) -> DataFrame:
     """All labels grown into the background only."""
     return labels.expanded(labels.spans(_once(pixels(spark, folder), "label")), 2, SIDE, SIDE)
 
@@ -315,7 +306,7 @@ QUERIES = {
     for f in (
         channel_histogram, channel_percentiles, channel_qc_flags, tile_robust_z, tile_kinds, tile_flags, flagged_channels, worst_tiles_topk, tile_focus, nodata_pixels,
         analysis_mask, region_properties, pooled_display_range, membrane_composite, downsample_mean, otsu_threshold, label_spans, label_stats, span_label_overlap,
-        label_overlap_iou, border_labels_dropped, relabel_dense, cells_in_mask, roi_cut_cells, dilated_labels, expanded_labels, dilated_all_labels, expanded_all_labels, components, small_objects_removed,
+        label_overlap_iou, border_labels_dropped, relabel_dense, cells_in_mask, roi_cut_cells, dilated_labels, expanded_labels, components, small_objects_removed,
         filled_holes, nested_folded, distance_to_background, watershed_cells, predicted_objects, dense_label_tiles, raster_check, f1_sweep, score_outlines,
         outline_summary, noise_floor, worst_agreement_squares, compare_methods, method_area_ratio, method_summary, order_groups,
     )
@@ -343,6 +334,53 @@ _IOU = _ONE + """,
     o as (select a.img, a.label as a, b.label as b, count(*) as n from pa a join pb b using (img, y, x) where a.label <> 0 and b.label <> 0 group by 1, 2, 3),
     na as (select img, label, count(*) as k from pa where label <> 0 group by 1, 2), nb as (select img, label, count(*) as k from pb where label <> 0 group by 1, 2),
     i as (select o.*, round(n / (na.k + nb.k - n), 6) as iou from o join na on o.img = na.img and o.a = na.label join nb on o.img = nb.img and o.b = nb.label)"""
+def _components(pixels: str, around: str) -> str:
+    """``cc`` (img, y, x, root): the first pixel of each pixel's connected piece, by rounds of neighbours' smallest."""
+    return f"""
+    nd as ({pixels}), ar as (select * from (values {around}) v(dy, dx)),
+    ed as (select a.img * 1099511627776 + a.y * 1048576 + a.x as a, a.img * 1099511627776 + (a.y + dy) * 1048576 + a.x + dx as b from nd a, ar
+           where exists (select 1 from nd b where b.img = a.img and b.y = a.y + dy and b.x = a.x + dx)),
+    rc(id, root) using key (id) as (
+      select img * 1099511627776 + y * 1048576 + x, img * 1099511627776 + y * 1048576 + x from nd
+      union select e.b, min(r.root) from rc r join ed e on e.a = r.id join recurring.rc u on u.id = e.b where r.root < u.root group by e.b),
+    cc as (select id // 1099511627776 as img, id // 1048576 % 1048576 as y, id % 1048576 as x, root from rc)"""
+
+
+_EIGHT = "(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)"
+_FOUR = "(-1, 0), (0, -1), (0, 1), (1, 0)"
+_BRIGHT = "select distinct img, y, x from px where v > 45000"
+_FOCUS = PX + """,
+    fd as (select img, c, y, x, max(v) as v from px group by 1, 2, 3, 4), ft as (select distinct img, c, y // 32 as ty, x // 32 as tx from fd),
+    fg as (select ft.*, ft.ty * 32 + i as y, ft.tx * 32 + j as x, coalesce(fd.v, 0)::double as v
+           from ft cross join range(32) a(i) cross join range(32) b(j) left join fd on fd.img = ft.img and fd.c = ft.c and fd.y = ft.ty * 32 + i and fd.x = ft.tx * 32 + j),
+    fs as (select img, c, ty, tx, greatest(quantile_cont(v, 0.99) - quantile_cont(v, 0.01), 1.0) as scale from fg group by 1, 2, 3, 4),
+    fk as (select list(w order by k) as w from (select k, exp(-0.5 * k * k) / sum(exp(-0.5 * k * k)) over () as w from range(-4, 5) r(k))),
+    f1 as (select img, c, ty, tx, y, list(v order by x) as r from fg group by 1, 2, 3, 4, 5),
+    f2 as (select img, c, ty, tx, y, unnest(range(1, 33)) as x, unnest(list_transform(range(1, 33), lambda j: list_sum(list_transform(range(1, 10), lambda k: w[k] * r[least(greatest(j + k - 5, 1), 32)])))) as v from f1, fk),
+    f3 as (select img, c, ty, tx, x, list(v order by y) as r from f2 group by 1, 2, 3, 4, 5),
+    f4 as (select img, c, ty, tx, x, unnest(range(1, 33)) as y, unnest(list_transform(range(1, 33), lambda j: list_sum(list_transform(range(1, 10), lambda k: w[k] * r[least(greatest(j + k - 5, 1), 32)])))) as v from f3, fk),
+    f5 as (select *, coalesce(lag(v) over q, v) + coalesce(lead(v) over q, v) + coalesce(lag(v) over p, v) + coalesce(lead(v) over p, v) - 4 * v as lap
+           from f4 window p as (partition by img, c, ty, tx, y order by x), q as (partition by img, c, ty, tx, x order by y)),
+    fo as (select img, c, ty, tx, round(log10(var_pop(lap / scale) + 1e-12), 6) as focus from f5 join fs using (img, c, ty, tx) group by 1, 2, 3, 4)"""
+
+
+def _z(rows: str, keys: str, value: str, name: str) -> str:
+    """``rows`` with the robust score of a value within keys."""
+    return f"""(select * exclude (md_, mad_), case when mad_ = 0 then 0.0 else round(({value} - md_) / (1.4826 * mad_), 6) end as {name}
+        from (select *, median(abs({value} - md_)) over (partition by {keys}) as mad_ from (select *, median({value}) over (partition by {keys}) as md_ from {rows})))"""
+
+
+_KIND = "case when tf >= 0.5 then 'tissue' when tf <= 0.02 and nf <= 0.02 then 'background' else 'mixed' end"
+_FLAGS = _FOCUS + _KINDS[len(PX) :] + f""",
+    kd as (select img, ty, tx, {_KIND} as kind from k), ti as (select img, ty, tx from kd where kind = 'tissue'),
+    va as (select img, c, y // 32 as ty, x // 32 as tx, median(v) as median, quantile_cont(v, 0.999) as p99_9 from px group by 1, 2, 3, 4),
+    ow as (select va.* from va join ti using (img, ty, tx)),
+    fz as (select * from {_z("(select fo.* from fo join ti using (img, ty, tx) where c = 0)", "img", "focus", "focus_z")}),
+    nz as (select * from {_z("(select * from ow where c = 0)", "img", "median", "nuclear_z")}),
+    az as (select * from {_z("(select *, ln(1 + p99_9) as tail from ow where c <> 0)", "img, c", "tail", "z")}),
+    th as (select img, c, v, count(*) as n from px where label >= 16 group by 1, 2, 3), tc as (select *, sum(n) over (partition by img, c order by v) / sum(n) over (partition by img, c) as share from th),
+    tp as (select img, c, min(case when share >= 0.999 then v end) as top from tc group by 1, 2),
+    ah as (select img, ty, tx, string_agg(c, ';' order by c) as channels from az join tp using (img, c) where z > 5 and p99_9 > top group by 1, 2, 3)"""
 SQL = {
     "channel_histogram": f"with {PX} select img, c, v, count(*) as n from px group by 1, 2, 3",
     "channel_percentiles": f"""with {_HIST}{_CUM},
@@ -373,6 +411,31 @@ SQL = {
     "tile_robust_z": f"with {_TILES} select * from z",
     "tile_kinds": f"""with {_KINDS} select img, ty, tx, round(tf, 6) as tissue_fraction, round(nf, 6) as nodata_fraction,
         case when tf >= 0.5 then 'tissue' when tf <= 0.02 and nf <= 0.02 then 'background' else 'mixed' end as kind from k""",
+    "tile_focus": f"with {_FOCUS} select * from fo",
+    "tile_flags": f"""with {_FLAGS} select img, ty, tx, kind, focus_z, nuclear_z, concat_ws(';', case when focus_z < -3.5 then 'focus' end, case when nuclear_z > 3.5 then 'fold' end) as flags,
+        coalesce(channels, '') as aggregate_channels from kd left join fz using (img, ty, tx) left join nz using (img, ty, tx) left join ah using (img, ty, tx) where kind <> 'mixed'""",
+    "flagged_channels": f"""with {PX}, t as (select img, c, y // 32 as ty, x // 32 as tx, quantile_cont(v, 0.999) as p from px group by 1, 2, 3, 4), u as (select img, c, quantile_cont(v, 0.999) as top from px group by 1, 2)
+        select img, ty, tx, string_agg('ch' || c, ';' order by c) as channels from t join u using (img, c) where p >= top group by 1, 2, 3""",
+    "components": f"""with recursive {PX}, {_components(_BRIGHT, _EIGHT)}, p as (select img, root, count(*) as n, min(y) as y0 from cc group by 1, 2)
+        select img, row_number() over (partition by img order by root)::int as label, n, y0 from p""",
+    "small_objects_removed": f"""with recursive {PX}, {_components(_BRIGHT, _EIGHT)}, p as (select *, count(*) over (partition by root) as k from cc),
+        r as (select *, lag(x) over (partition by img, y order by x) as before from p where k >= 4)
+        select img, count(*) filter (before is null or before < x - 1) as spans, count(*) as n from r group by 1""",
+    "filled_holes": f"""with recursive {PX}, bg as (select i.img, y, x from (select distinct img from px) i cross join range(256) a(y) cross join range(256) b(x)
+          where not exists (select 1 from px where px.v > 9000 and px.img = i.img and px.y = a.y and px.x = b.x)),
+        re as (select img, y, x, y as v, x as u, 0 as step from bg
+          union select re.img, re.y, re.x, bg.y, bg.x, step + 1 from re, (values {_FOUR}) d(dy, dx), bg where step < 6 and bg.img = re.img and bg.y = re.v + dy and bg.x = re.u + dx)
+        select img, y, x from re group by 1, 2, 3 having count(distinct v * 256 + u) <= 6 and not bool_or(v in (0, 255) or u in (0, 255))""",
+    "order_groups": """with recursive t as (select distinct l_partkey * 2 as a, l_suppkey * 2 + 1 as b from lineitem), e as (select a, b from t union all select b, a from t),
+        rc(id, root) using key (id) as (select id, id from (select distinct a as id from e)
+          union select e.b, min(r.root) from rc r join e on e.a = r.id join recurring.rc u on u.id = e.b where r.root < u.root group by e.b)
+        select root, count(*) as n from rc group by 1""",
+    "worst_agreement_squares": f"""with {PX}, wa as (select distinct img, y, x, (y // 16) * 20 + x // 16 + 1 as label from px), wb as (select distinct img, y, x, ((y + 3) // 16) * 20 + (x + 3) // 16 + 1 as label from px),
+        sa as (select img, label, count(*) as n, round(avg(y), 6) as cy, round(avg(x), 6) as cx from wa group by 1, 2), sb as (select img, label, count(*) as m from wb group by 1, 2),
+        sh as (select img, label, count(*) as k from wa join wb using (img, y, x, label) group by 1, 2),
+        ce as (select img, floor(cy / 64)::bigint as gy, floor(cx / 64)::bigint as gx, round(coalesce(k, 0) / (n + coalesce(m, 0) - coalesce(k, 0)), 6) as iou from sa left join sb using (img, label) left join sh using (img, label)),
+        sq as (select img, gy, gx, count(*) as n, median(iou) as median_iou from ce group by 1, 2, 3 having count(*) >= 15)
+        select * from (select *, row_number() over (partition by img order by median_iou, gy, gx)::int as rank from sq) where rank <= 3""",
     "worst_tiles_topk": f"with {_TILES} select img, c, ty, tx, z, abs(z) as severity from z order by abs(z) desc, img, c, ty, tx limit 8",
     "nodata_pixels": f"with {PX} select img, y, x from px group by 1, 2, 3 having max(case when v < 3000 then 0 else v end) = 0",
     "analysis_mask": f"""with {_KINDS}, p as (select distinct img, y, x, label from px), f as (select * from k where round(tf, 6) < 0.8),
@@ -414,11 +477,11 @@ SQL = {
         a as (select img, label, count(*) as n_whole from pa where label <> 0 group by 1, 2)
         select img, label, roi_id, n_crop, n_whole from k join a using (img, label) where n_crop < n_whole""",
     "dilated_labels": f"""with {_ONE}, d as (select * from (values (-2), (-1), (0), (1), (2)) v(dy), (values (-2), (-1), (0), (1), (2)) u(dx) where abs(dy) + abs(dx) <= 2)
-        select img, label, count(*) as n from (select distinct img, label, y + dy as y, x + dx as x from pa, d where label between 1 and 3)
+        select img, label, count(*) as n from (select distinct img, label, y + dy as y, x + dx as x from pa, d where label <> 0)
         where y between 0 and 255 and x between 0 and 255 group by 1, 2""",
     "expanded_labels": f"""with {_ONE}, d as (select * from (values (-2), (-1), (0), (1), (2)) v(dy), (values (-2), (-1), (0), (1), (2)) u(dx) where dy * dy + dx * dx <= 4)
         select img, y + dy as y, x + dx as x, min_by(label, struct_pack(a := dy * dy + dx * dx, b := label)) as label from pa, d
-        where label between 1 and 3 and y + dy between 0 and 255 and x + dx between 0 and 255 group by 1, 2, 3""",
+        where label <> 0 and y + dy between 0 and 255 and x + dx between 0 and 255 group by 1, 2, 3""",
     "raster_check": f"with {PX} select img, count(*) as n_pixels, count(distinct case when label <> 0 then label end) as n_labels, bool_or(label = 0) as has_background from px group by 1",
     "f1_sweep": f"""with {_IOU}, best as (select * from (select *, row_number() over (partition by img, a order by iou desc, b) as r from i) where r = 1),
         g as (select img, count(distinct a) as ng, count(distinct b) as np from i group by 1), t as (select * from (values (0.005), (0.01), (0.02)) v(threshold)),

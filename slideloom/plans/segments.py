@@ -24,13 +24,6 @@ def same_label_overlap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reference_values(spark: SparkSession, folder: str) -> DataFrame:
-    """The brightest value at the pixel of each point, in the first image."""
-    points = _points(spark, folder, 0, 1).withColumn("x", (F.col("x") - 900) * 1.2).withColumn("y", (F.col("y") - 900) * 1.2)
-    bright = pixels(spark, folder).where("img = 0").select("y", "x", "v")
-    return segment.values_at(points, bright, 256, 256, []).select("img", "id", "v")
-
-
-def reference_values_by_image(spark: SparkSession, folder: str) -> DataFrame:
     """The brightest value at the pixel of each point, in the point's own image."""
     points = _points(spark, folder, 0, 1).withColumn("x", (F.col("x") - 900) * 1.2).withColumn("y", (F.col("y") - 900) * 1.2)
     return segment.values_at(points, pixels(spark, folder).select("img", "y", "x", "v"), 256, 256).select("img", "id", "v")
@@ -76,7 +69,7 @@ def roi_label_tiles(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (masked_histogram, same_label_overlap, reference_values, reference_values_by_image, interior_points, cells_in_rois, resumable_blocks, nucleus_table, cell_table, roi_label_tiles)
+    for f in (masked_histogram, same_label_overlap, reference_values, interior_points, cells_in_rois, resumable_blocks, nucleus_table, cell_table, roi_label_tiles)
 }
 
 SQL = {
@@ -84,7 +77,7 @@ SQL = {
         select px.img, c, case when m.img is null then 'out' else 'in' end as side, count(*) as n, max(v) as top from px left join m on m.img = px.img and my = y // 8 and mx = x // 8 group by 1, 2, 3""",
     "same_label_overlap": f"with {_ONE} select img, label, count(*) as n from pa join pb using (img, y, x, label) where label <> 0 group by 1, 2",
     "reference_values": f"""with {PX}, {_P}, s as (select img, id, least(greatest(round_even((y - 900) * 1.2, 0)::bigint, 0), 255) as py, least(greatest(round_even((x - 900) * 1.2, 0)::bigint, 0), 255) as qx from p),
-        b as (select y, x, max(v) as v from px where img = 0 group by 1, 2) select img, id, v from s left join b on b.y = py and b.x = qx""",
+        b as (select img, y, x, max(v) as v from px group by 1, 2, 3) select s.img, id, v from s left join b on b.img = s.img and b.y = py and b.x = qx""",
     "interior_points": f"with {_P} select img, id from p where x > 900 and x < 1100 and y > 900 and y < 1100",
     "cells_in_rois": f"""with {_C}, w as (select distinct sample_id as img, roi_id || '@' || y0 || '@' || x0 as window_id, y0, x0, y1, x1 from rois)
         select c.img, window_id, count(*) as n from c join w on c.img = w.img and y >= y0 and y < y1 and x >= x0 and x < x1 group by 1, 2""",

@@ -89,11 +89,6 @@ def check_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ordered_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """The gravest twenty checks of each sample."""
-    return report.ordered_checks(_checks(spark, folder)).where("position <= 20").select("sample_id", "seq", "level", "position")
-
-
-def all_ordered_checks(spark: SparkSession, folder: str) -> DataFrame:
     """All checks of each sample, gravest first."""
     return report.ordered_checks(_checks(spark, folder)).select("sample_id", "seq", "level", "position")
 
@@ -122,7 +117,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         panel_problems, sample_problems, panels_without_nucleus, channel_match, channel_table, doubly_matched_channels, unmatched_markers, marker_map_lint, name_collisions,
-        selected_samples, unknown_samples, check_summary, ordered_checks, all_ordered_checks, cell_fingerprints, sampled_cells,
+        selected_samples, unknown_samples, check_summary, ordered_checks, cell_fingerprints, sampled_cells,
         streamed_histogram,
     )
 }
@@ -177,5 +172,5 @@ SQL = {
     "check_summary": f"""with {_CHECKS} select sample_id, count(*) filter (level = 'fail') as fail, count(*) filter (level = 'warn') as warn, count(*) filter (level = 'info') as info,
         count(*) filter (level = 'ok') as ok, count(*) filter (level = 'fail') = 0 as passed from ck group by 1""",
     "ordered_checks": f"""with {_CHECKS}, o as (select *, row_number() over (partition by sample_id order by list_position(['fail', 'warn', 'info', 'ok'], level), seq)::int as position from ck)
-        select sample_id, seq, level, position from o where position <= 20""",
+        select sample_id, seq, level, position from o""",
 }

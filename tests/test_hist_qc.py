@@ -84,7 +84,7 @@ def test_channel_rules(spark):
 
 def test_focus_of_sharp_and_flat_tiles(spark):
     rows = [("i", 0, y, x, 200 if (x + y) % 2 else 0) for y in range(8) for x in range(8)] + [("i", 0, y, x, 50) for y in range(8) for x in range(8, 16)]
-    out = {r.tx: r.focus for r in Q.tile_focus(spark.createDataFrame(rows, "img string, c int, y bigint, x bigint, v bigint"), 8, ["img", "c"], 10.0).collect()}
+    out = {r.tx: r.focus for r in Q.tile_focus(spark.createDataFrame(rows, "img string, c int, y bigint, x bigint, v bigint"), 8, ["img", "c"]).collect()}
     assert out[0] > -6 and out[1] == -12.0
 
 

@@ -61,8 +61,8 @@ def test_growth_of_all_labels(spark, small):
                     wide[i, label].add(at)
                 if d <= 4:
                     grown[at] = min(grown.get(at, (9, 0)), (d, label))
-    assert {(r.img, r.label): r.n for r in run(spark, "dilated_all_labels", folder)} == {k: len(v) for k, v in wide.items()}
-    assert {(r.img, r.y, r.x): r.label for r in run(spark, "expanded_all_labels", folder)} == {at: label for at, (_, label) in grown.items()}
+    assert {(r.img, r.label): r.n for r in run(spark, "dilated_labels", folder)} == {k: len(v) for k, v in wide.items()}
+    assert {(r.img, r.y, r.x): r.label for r in run(spark, "expanded_labels", folder)} == {at: label for at, (_, label) in grown.items()}
     assert max(label for _, label in wide) > 3
 
 
@@ -72,7 +72,7 @@ def test_values_at_points_in_their_own_image(spark, small):
     for o, _, part, _, v, _ in lines:
         at = o // 65536, o % 256, part % 256
         top[at] = max(int(v), top.get(at, 0))
-    rows = run(spark, "reference_values_by_image", folder)
+    rows = run(spark, "reference_values", folder)
     got = {(r.img, r.id): r.v for r in rows}
     at = lambda v: min(max(round((v * 1000 + 1000 - 900) * 1.2), 0), 255)
     assert got == {(i, k): top.get((i, at(e[1]), at(e[0]))) for k, i, e in points}
@@ -84,6 +84,6 @@ def test_all_checks_keep_their_place(spark, tmp_path):
         "'s' as sample_id", "concat('R', lpad(id, 2, '0')) as roi_id", "timestamp'2024-01-01 00:00:00' as proposed_at", "if(id % 4 = 0, null, 500 + id * 10) as n_cells", "0.9D as occupancy"
     )
     rois.write.parquet(f"{tmp_path}/rois.parquet")
-    rows = run(spark, "all_ordered_checks", str(tmp_path))
+    rows = run(spark, "ordered_checks", str(tmp_path))
     assert sorted(r.position for r in rows) == list(range(1, 51))
     assert Counter(r.level for r in rows if r.position <= 13) == {"fail": 13}
