@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from slideloom.session import checkpointed
 
-#: Rounds after which a graph counts as not ending; a path of n nodes needs about log2 n.
-MOST_ROUNDS = 60
-
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, root): the smallest id that each node is connected with.
@@ -20,7 +17,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     roots = checkpointed(nodes.select("id", F.col("id").alias("root")).distinct())
     links = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    for _ in range(MOST_ROUNDS):
+    while True:  # each round joins every open group to a smaller one
         a = roots.select(F.col("id").alias("a"), F.col("root").alias("ra"))
         b = roots.select(F.col("id").alias("b"), F.col("root").alias("rb"))
         open_ = checkpointed(links.join(a, "a").join(b, "b").where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
@@ -37,4 +34,3 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                 break
         roots = checkpointed(roots.join(hook, "root", "left").select("id", F.coalesce("to", "root").alias("root")))
         links = open_
-    raise RuntimeError("the graph did not come to rest")

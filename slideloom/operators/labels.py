@@ -198,7 +198,7 @@ def folded(runs: DataFrame, radius: int, threshold: float, height: int, width: i
     best = held.withColumn("share", F.col("n") / F.col("n_a")).where((F.col("share") >= threshold) & upwards)
     best = best.groupBy("img", "a").agg(F.max_by("b", F.struct("share", "n_b", -F.col("b"))).alias("to"))
     roots = checkpointed(runs.select("img", "label").distinct().join(best.withColumnRenamed("a", "label"), ["img", "label"], "left").select("img", "label", F.coalesce("to", "label").alias("root")))
-    for _ in range(40):  # pointers double: a chain of n labels ends after log2 n rounds
+    while True:  # pointers double: a chain of n labels ends after log2 n rounds
         up = roots.select("img", F.col("label").alias("root"), F.col("root").alias("further"))
         next_ = checkpointed(roots.join(up, ["img", "root"]).select("img", "label", "further", (F.col("root") != F.col("further")).alias("moved")))
         roots = next_.select("img", "label", F.col("further").alias("root"))

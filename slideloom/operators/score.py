@@ -1,90 +1,130 @@
 """Optimal assignment and accuracy of labels and points.
 
 The assignment that maximises a total falls apart into the connected groups of the pairs
-that may be matched; each group is solved exactly in its own task.
+that may be matched. Pairs that some best assignment surely holds are settled in rounds of
+joins first, which breaks groups up; each group left is solved exactly in its own task over
+its pairs alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slideloom.operators.graph import components
 from slideloom.operators.labels import drop_border, iou, label_stats
 from slideloom.operators.spatial import chance_rate, within
+from slideloom.session import checkpointed
 
 THRESHOLDS = (0.5, 0.6, 0.7, 0.8, 0.9)
-#: Nodes of one group that are solved in one task.
-MOST_GROUP = 20_000
+#: Rounds in which pairs are settled at most; what then is left is solved all the same.
+SETTLING_ROUNDS = 6
 
 
-def hungarian(cost: np.ndarray) -> np.ndarray:
-    """Column of each row in an assignment of least total cost; needs no more rows than columns.
+def best_assignment(rows: np.ndarray, columns: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """Indices of the pairs of greatest total gain that share no row and no column.
 
-    Shortest augmenting paths with potentials, each step over all columns at once.
+    Shortest augmenting paths with potentials over the pairs given, each row with a column of
+    its own for staying alone. Time follows the pairs near a path, memory the pairs.
     """
-    n, m = cost.shape
-    u, v = np.zeros(n + 1), np.zeros(m + 1)
-    row_of = np.zeros(m + 1, np.int64)  # 1-based; 0 is free
-    for i in range(1, n + 1):
-        row_of[0], at = i, 0
-        least, back, used = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64), np.zeros(m + 1, bool)
-        while row_of[at]:
-            used[at] = True
-            r = row_of[at]
-            slack = np.where(used[1:], np.inf, cost[r - 1] - u[r] - v[1:])
-            closer = slack < least[1:]
-            least[1:][closer], back[1:][closer] = slack[closer], at
-            open_ = np.where(used, np.inf, least)
-            open_[0] = np.inf
-            j = int(open_.argmin())
-            step = open_[j]
-            u[row_of[used]] += step
-            v[used] -= step
-            least[~used] -= step
-            at = j
-        while at:
-            row_of[at], at = row_of[back[at]], int(back[at])
-    out = np.full(n, -1)
-    for j in range(1, m + 1):
-        if row_of[j]:
-            out[row_of[j] - 1] = j - 1
-    return out
+    order = np.lexsort((columns, rows))
+    n, m = (int(v.max(initial=-1)) + 1 for v in (rows, columns))
+    starts = np.searchsorted(rows[order], np.arange(n + 1)).tolist()
+    at, cost = columns[order].tolist(), (-gains[order]).tolist()
+    u = [min([0.0, *cost[starts[i] : starts[i + 1]]]) for i in range(n)]
+    v = [0.0] * (m + n)
+    row_of, pair_of = [-1] * (m + n), [-1] * (m + n)
+    column_of: dict[int, int] = {}
+    for free in range(n):
+        least: dict[int, float] = {}
+        came: dict[int, tuple[int, int]] = {}
+        heap: list[tuple[float, int]] = []
+        done: list[int] = []
+        settled: set[int] = set()
+        i, far = free, 0.0
+        while True:
+            alone = m + i
+            for k in (*range(starts[i], starts[i + 1]), -1):
+                j, c = (at[k], cost[k]) if k >= 0 else (alone, 0.0)
+                if j in settled:
+                    continue
+                length = far + c - u[i] - v[j]
+                if length < least.get(j, np.inf):
+                    least[j], came[j] = length, (i, k)
+                    heappush(heap, (length, j))
+            while True:
+                far, j = heappop(heap)
+                if j not in settled and far <= least[j]:
+                    break
+            settled.add(j)
+            if row_of[j] < 0:
+                break
+            done.append(j)
+            i = row_of[j]
+        u[free] += far
+        for k in done:
+            u[row_of[k]] += far - least[k]
+            v[k] -= far - least[k]
+        while True:
+            i, k = came[j]
+            before = column_of.get(i, -1)
+            row_of[j], pair_of[j], column_of[i] = i, k, j
+            if i == free:
+                break
+            j = before
+    return order[[k for k in pair_of[:m] if k >= 0]] if m else order[:0]
+
+
+def _settled(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(pairs that some best assignment holds, the pairs left without their ends).
+
+    A pair is settled where its gain is at least the greatest other gain of one end plus that
+    of the other: whatever else an assignment gives the two, it is no less with the pair. Of
+    equal gains the smaller numbers count as greater, so that no two settled pairs share an end.
+    """
+    done: DataFrame | None = None
+    for _ in range(SETTLING_ROUNDS):
+        ranked = edges
+        for side in ("a", "b"):
+            w = Window.partitionBy(*keys, side).orderBy(F.desc("gain"), "a", "b")
+            ranked = ranked.withColumn(f"_{side}", F.row_number().over(w)).withColumn(f"_n{side}", F.coalesce(F.lead("gain").over(w), F.lit(0.0)))
+        sure = ranked.where((F.col("_a") == 1) & (F.col("_b") == 1) & (F.col("gain") >= F.col("_na") + F.col("_nb")))
+        now = checkpointed(sure.select(*edges.columns))
+        if now.isEmpty():
+            break
+        done = now if done is None else done.unionByName(now)
+        left = edges.join(now.select(*keys, "a"), [*keys, "a"], "left_anti").join(now.select(*keys, "b"), [*keys, "b"], "left_anti")
+        edges = checkpointed(left.select(*edges.columns))
+    return edges.limit(0) if done is None else done, edges
 
 
 def assigned(pairs: DataFrame, keys: Sequence[str], gain: str = "gain") -> DataFrame:
     """(keys, a, b, gain): one-to-one pairs of greatest total gain; ``pairs`` has keys, a, b and a gain above 0.
 
-    Groups that share no pair are solved apart. A group of more than MOST_GROUP nodes is an
-    error rather than a task that can't end.
+    Groups that share no pair are solved apart; a task holds the pairs of a group that the
+    settling rounds have not broken up.
     """
     k = [F.col(c).cast("string") for c in keys]
     node = lambda side: F.concat_ws("\x1f", F.lit(side), *k, F.col(side).cast("string"))
-    edges = pairs.select(*keys, "a", "b", F.col(gain).cast("double").alias("gain")).where("gain > 0").withColumn("_a", node("a")).withColumn("_b", node("b"))
+    names = [*keys, "a", "b"]
+    given = checkpointed(pairs.select(*names, F.col(gain).cast("double").alias("gain")).where("gain > 0"))
+    sure, edges = _settled(given, keys)
+    edges = edges.withColumn("_a", node("a")).withColumn("_b", node("b"))
     nodes = edges.select(F.col("_a").alias("id")).unionByName(edges.select(F.col("_b").alias("id"))).distinct()
     roots = components(nodes, edges.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
     grouped = edges.join(roots.withColumnRenamed("id", "_a"), "_a").drop("_a", "_b")
-    names = [*keys, "a", "b"]
     schema = ", ".join(f"`{c}` {grouped.schema[c].dataType.simpleString()}" for c in names) + ", gain double"
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["a", "b"])
-        rows, columns = group["a"].unique(), group["b"].unique()
-        if len(rows) + len(columns) > MOST_GROUP:
-            raise ValueError(f"a group of {len(rows) + len(columns)} nodes")
-        gains = np.zeros((len(rows), len(columns)))
-        i, j = pd.Index(rows).get_indexer(group["a"]), pd.Index(columns).get_indexer(group["b"])
-        gains[i, j] = group["gain"]
-        flip = len(rows) > len(columns)
-        chosen = hungarian(-gains.T if flip else -gains)
-        picked = {(r, c) for c, r in enumerate(chosen)} if flip else {(r, c) for r, c in enumerate(chosen)}
-        keep = [(a, b) in picked for a, b in zip(i, j)]
-        return group.loc[keep, [*names, "gain"]]
-
-    return grouped.groupBy("root").applyInPandas(solve, schema)
+        i, j = pd.factorize(group["a"])[0], pd.factorize(group["b"])[0]
+        return group.iloc[np.sort(best_assignment(i, j, group["gain"].to_numpy()))][[*names, "gain"]]
+
+    return sure.select(*names, "gain").unionByName(grouped.groupBy("root").applyInPandas(solve, schema))
 
 
 def sweep(n_gt: DataFrame, n_pred: DataFrame, matches: DataFrame, keys: Sequence[str], value: str = "iou", thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:

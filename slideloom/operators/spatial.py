@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slideloom.session import checkpointed
 
-#: Candidates per reference that matching looks at, and rounds after which it counts as not ending.
+#: Candidates per reference that matching looks at.
 CANDIDATES = 3
-MOST_ROUNDS = 200
 
 
 def _bin(value: Column, size: float) -> Column:
@@ -56,7 +55,7 @@ def matched(ref: DataFrame, ours: DataFrame, radius: float, keys: Sequence[str]
     edges = checkpointed(nearest(ref, ours, candidates, radius, keys).drop("rank"))
     order = ["d", "ref", "ours"]
     done: DataFrame | None = None
-    for _ in range(MOST_ROUNDS):
+    while True:  # the nearest pair left is always taken
         first = lambda end: F.row_number().over(Window.partitionBy(*keys, end).orderBy(*order))
         best = checkpointed(edges.withColumn("_r", first("ref")).withColumn("_o", first("ours")).where("_r = 1 and _o = 1").drop("_r", "_o"))
         done = best if done is None else done.unionByName(best)
@@ -65,7 +64,6 @@ def matched(ref: DataFrame, ours: DataFrame, radius: float, keys: Sequence[str]
         )
         if edges.isEmpty():
             return done
-    raise RuntimeError("the matching did not come to rest")
 
 
 def chance_rate(ref: DataFrame, ours: DataFrame, radius: float, shifts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

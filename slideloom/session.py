@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    The folder the cluster names is used as it is. Only where none is set, as in tests, a
-    temporary folder is taken.
+    The folder the cluster names is used as it is. Only where none is set and Spark runs on one
+    machine, as in tests, a temporary folder is taken.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("a cluster needs spark.checkpoint.dir, a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir()
 

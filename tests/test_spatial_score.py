@@ -59,14 +59,42 @@ def test_shift_is_found_and_chance_is_lower(spark):
     assert S.chance_rate(points(spark, ref), points(spark, ref), 4.0, shifts, ["img"]).collect()[0].rate < 0.5
 
 
-def test_hungarian_against_all_permutations():
+def test_assignment_against_all_ways():
     rng = np.random.default_rng(1)
-    for _ in range(200):
-        n = int(rng.integers(1, 6))
-        m = int(rng.integers(n, 7))
-        cost = rng.integers(0, 20, (n, m)).astype(float)
-        got = C.hungarian(cost)
-        assert len(set(got)) == n and cost[np.arange(n), got].sum() == min(sum(cost[i, p[i]] for i in range(n)) for p in itertools.permutations(range(m), n))
+    for _ in range(300):
+        n, m = rng.integers(1, 5, 2).tolist()
+        gains = np.where(rng.random((n, m)) < 0.6, rng.integers(1, 9, (n, m)).astype(float), 0.0)
+        rows, columns = np.nonzero(gains)
+        keep = C.best_assignment(rows, columns, gains[rows, columns])
+        assert len(set(rows[keep])) == len(keep) == len(set(columns[keep]))
+        wide = np.pad(gains, ((0, 0), (0, n)))  # a row may stay alone
+        best = max(sum(wide[i, j] for i, j in enumerate(way)) for way in itertools.permutations(range(m + n), n))
+        assert gains[rows[keep], columns[keep]].sum() == best
+
+
+def test_a_long_group_is_solved():
+    """A chain of 100,000 nodes: only pairs are held, and paths stay short."""
+    n = 50_000
+    rows, columns = np.repeat(np.arange(n), 2), np.minimum(np.arange(2 * n) // 2 + np.arange(2 * n) % 2, n - 1)
+    rows, columns = rows[:-1], columns[:-1]
+    gains = np.random.default_rng(0).integers(1, 100, len(rows)).astype(float)
+    keep = C.best_assignment(rows, columns, gains)
+    taken = skipped = 0.0  # the best total of a path's edges, one after another
+    for g in gains:
+        taken, skipped = skipped + g, max(taken, skipped)
+    assert gains[keep].sum() == max(taken, skipped)
+
+
+def test_settled_pairs_leave_the_total(spark):
+    rng = np.random.default_rng(7)
+    rows = [("k", int(a), int(b), float(g)) for a, b, g in zip(rng.integers(0, 40, 130), rng.integers(0, 40, 130), rng.integers(1, 30, 130))]
+    once = {(a, b): g for _, a, b, g in rows}
+    pairs = spark.createDataFrame([("k", a, b, g) for (a, b), g in once.items()], "img string, a int, b int, gain double")
+    out = C.assigned(pairs, ["img"]).collect()
+    a, b = (np.array(x) for x in zip(*once))
+    alone = C.best_assignment(a, b, np.array(list(once.values())))
+    assert len({r.a for r in out}) == len(out) == len({r.b for r in out})
+    assert sum(r.gain for r in out) == sum(list(once.values())[k] for k in alone)
 
 
 def test_total_counts_not_single_pairs(spark):
