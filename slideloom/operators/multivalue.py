@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slideloom.functions.text import strip
+from slideloom.session import checkpointed
 
 # Signs with a meaning of their own; all others are ordinary.
 SEPARATORS = ";,|\t\n\r、；，｜"
@@ -21,8 +22,9 @@ SPACES = "  　"
 _SPECIAL = SEPARATORS + SPACES + "/\\[]" + "".join(sorted(set(OPENING) | set(OPENING.values())))
 _CLASS = "".join("\\" + c if c in "\\[]|" else c for c in _SPECIAL)
 _MASK = "a"
-#: Distinct skeletons that are broadcast at most; more are joined by a shuffle.
-BROADCAST_SKELETONS = 20_000
+#: Bytes of skeletons and rules that are broadcast at most, about; more are joined by a shuffle.
+BROADCAST_BYTES = 8 << 20
+_RULE_BYTES = 40
 
 _RULE = "array<struct<start:int,length:int,escape:string>>"
 
@@ -99,14 +101,14 @@ def split_values(rows: DataFrame, key: str, field: str, value: str) -> DataFrame
 
     Positions count from 1; empty values are skipped and take none, repeated values stay.
     NULL, empty and blank fields, and fields of separators only, give no row. The rules of
-    the distinct skeletons are broadcast while there are few of them, else they are joined
+    the distinct skeletons are broadcast while they take few bytes, else they are joined
     by a shuffle in which a frequent skeleton is split as skewed.
     """
     filled = rows.select(F.col(key).alias("_key"), F.col(field).alias("_field")).where(F.col("_field").isNotNull())
     masked = filled.withColumn("skeleton", F.regexp_replace("_field", f"[^{_CLASS}]+", _MASK))
-    distinct = masked.select("skeleton").distinct()
-    rules = distinct.mapInPandas(_resolve, f"skeleton string, rule {_RULE}")
-    few = distinct.limit(BROADCAST_SKELETONS + 1).count() <= BROADCAST_SKELETONS
+    rules = checkpointed(masked.select("skeleton").distinct().mapInPandas(_resolve, f"skeleton string, rule {_RULE}"))
+    size = rules.agg(F.sum(F.octet_length("skeleton") + _RULE_BYTES * F.size("rule") + _RULE_BYTES)).first()[0]
+    few = (size or 0) <= BROADCAST_BYTES
     joined = masked.join(F.broadcast(rules) if few else rules, "skeleton")
     signs = F.regexp_extract_all("_field", F.lit(f"([^{_CLASS}]+|[{_CLASS}])"), F.lit(1))
     cut = joined.select("_key", "rule", signs.alias("_signs"))

@@ -44,7 +44,7 @@ def test_shuffled_rules_give_the_same(spark, monkeypatch):
 
     df = spark.createDataFrame([(k, t) for k, t in enumerate(CASES)], "id bigint, field string")
     few = sorted(map(tuple, split_values(df, "id", "field", "value").collect()))
-    monkeypatch.setattr(M, "BROADCAST_SKELETONS", 1)
+    monkeypatch.setattr(M, "BROADCAST_BYTES", 1)
     assert sorted(map(tuple, split_values(df, "id", "field", "value").collect())) == few
 
 
