@@ -28,6 +28,8 @@ from slideloom.session import checkpointed
 MOST_EDITS = 2
 #: Letters that a name shortened without a full stop has at least.
 SHORTEST_START = 6
+#: Letters that one shortened with a full stop has at least.
+SHORTEST_CUT = 4
 #: Forms of a canonical list that is broadcast with their deletions; a longer one is joined by a shuffle.
 BROADCAST_ENTRIES = 5_000
 
@@ -290,6 +292,7 @@ class Dictionary:
     forms: tuple[tuple[str, str, str], ...]
     exact: dict[str, tuple[int, ...]]
     deleted: dict[str, tuple[int, ...]]
+    begun: dict[str, tuple[int, ...]]
     longest: int
 
     def lookup(self, value: str, loose: bool) -> list[tuple[str, str, float, int]]:
@@ -316,10 +319,10 @@ class Dictionary:
         """The one entry whose stem a shortened name starts, followed by the same number."""
         if not cut and len(form) >= SHORTEST_START and not re.search(r"\d", form):
             cut = len(form)
-        if cut < 4:
+        if cut < SHORTEST_CUT:
             return []
         start, rest = form[:cut], form[cut:]
-        entries = {e for e, stem, tail in self.forms if stem.startswith(start) and rest == tail}
+        entries = {e for e, stem, tail in map(self.forms.__getitem__, self.begun.get(start[:SHORTEST_CUT], ())) if stem.startswith(start) and rest == tail}
         return [(value, entries.pop(), 5.0, nth)] if len(entries) == 1 else []
 
 
@@ -327,12 +330,14 @@ def built(rows: list[tuple[str, str, str]]) -> Dictionary:
     """The dictionary of (entry, stem, tail) rows."""
     exact: dict[str, tuple[int, ...]] = {}
     deleted: dict[str, tuple[int, ...]] = {}
+    begun: dict[str, tuple[int, ...]] = {}
     for k, (_, stem, tail) in enumerate(rows):
+        begun[stem[:SHORTEST_CUT]] = (*begun.get(stem[:SHORTEST_CUT], ()), k)
         exact[stem + tail] = (*exact.get(stem + tail, ()), k)
         if edits_allowed(stem):
             for d in deletions(stem + tail, MOST_EDITS):
                 deleted[d] = (*deleted.get(d, ()), k)
-    return Dictionary(tuple(rows), exact, deleted, max((len(s + t) for _, s, t in rows), default=0))
+    return Dictionary(tuple(rows), exact, deleted, begun, max((len(s + t) for _, s, t in rows), default=0))
 
 
 def _found_by_broadcast(values: DataFrame, rows: list[tuple[str, str, str]], loose: bool) -> DataFrame:
