@@ -145,15 +145,15 @@ def span_components(runs: DataFrame, diagonal: bool = True) -> DataFrame:
     The graph has spans as nodes and joins those of adjacent rows that touch; with
     ``diagonal`` corners touch too.
     """
-    # A span is named by its place: images have fewer than 2**20 rows and columns.
-    named = checkpointed(runs.select("img", "y", "x0", "x1", (F.col("img").cast("bigint") * 2**40 + F.col("y") * 2**20 + F.col("x0")).cast("bigint").alias("id")))
+    # A span is named by its place.
+    named = checkpointed(runs.select("img", "y", "x0", "x1", F.struct("img", "y", "x0").alias("id")))
     wide = 1 if diagonal else 0
     p = named.withColumn("label", F.col("id")).withColumn("x1", F.col("x1") + wide)
     q = named.withColumn("label", F.col("id")).withColumn("y", F.col("y") - 1).withColumn("x1", F.col("x1") + wide)
     edges = overlap(p, q).select("a", "b")
     roots = components(named.select("id"), edges)
     rooted = named.join(roots, "id")
-    order = roots.select("root").distinct().withColumn("img", F.floor(F.col("root") / 2**40).cast("bigint"))
+    order = roots.select("root", F.col("root.img").alias("img")).distinct()
     order = order.withColumn("label", F.row_number().over(Window.partitionBy("img").orderBy("root"))).drop("img")
     return rooted.join(order, "root").select("img", "y", "x0", "x1", "label")
 

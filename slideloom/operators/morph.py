@@ -10,35 +10,52 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+def lower_envelope(at: np.ndarray, height: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The least of (y - at)^2 + height at each ``y``; both ``at`` and ``y`` ascend, and the work is linear in them."""
+    kept, starts = [0], [-np.inf]  # parabolas of the envelope, and from where each is the lowest
+    a, h = at.tolist(), height.tolist()
+    for k in range(1, len(a)):
+        while True:
+            j = kept[-1]
+            start = (h[k] + a[k] * a[k] - h[j] - a[j] * a[j]) / (2 * (a[k] - a[j]))
+            if start > starts[-1]:
+                break
+            kept.pop()
+            starts.pop()
+        kept.append(k)
+        starts.append(start)
+    lowest = np.array(kept)[np.searchsorted(starts, y, side="right") - 1]
+    return (y - at[lowest]) ** 2 + height[lowest]
+
+
 def distance_transform(mask: DataFrame, image: str = "img") -> DataFrame:
     """(img, y, x, d): the distance of each pixel of ``mask`` (img, y, x, inside) from the nearest one not inside.
 
-    Two passes: along rows by windows, then down each column by its lower envelope. A task
-    handles one row or one column of the reduced raster. An image without any outside pixel
-    has NULL distances.
+    Two passes: along rows, then down each column by its lower envelope. A task handles one row
+    or one column of the reduced raster; places without a pixel are laid out for it. An image
+    without any outside pixel has NULL distances.
     """
-    row = Window.partitionBy(image, "y").orderBy("x")
-    edge = F.when(~F.col("inside"), F.col("x"))
-    left = F.last(edge, ignorenulls=True).over(row.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.first(edge, ignorenulls=True).over(row.rowsBetween(0, Window.unboundedFollowing))
-    near = F.least(F.col("x") - left, right - F.col("x"))
-    first = mask.groupBy(image, "y", "x").agg(F.max("inside").alias("inside")).withColumn("g", near.cast("double"))
-    kind = first.schema[image].dataType.simpleString()
+    pixels = mask.groupBy(image, "y", "x").agg(F.max("inside").alias("inside"))
+    ends = pixels.groupBy(image).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    kind = pixels.schema[image].dataType.simpleString()
+
+    def row(rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.arange(rows["lo"].iloc[0], rows["hi"].iloc[0] + 1)
+        out = np.sort(rows["x"].to_numpy(float)[~rows["inside"].to_numpy(bool)])
+        g = np.full(len(x), np.nan)
+        if len(out):
+            at = np.searchsorted(out, x)
+            g = np.minimum(np.abs(x - out[np.maximum(at - 1, 0)]), np.abs(out[np.minimum(at, len(out) - 1)] - x))
+        return pd.DataFrame({image: rows[image].iloc[0], "y": rows["y"].iloc[0], "x": x, "g": g, "own": np.isin(x, rows["x"])})
 
     def column(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("y")
         y, g = rows["y"].to_numpy(float), rows["g"].to_numpy(float)
         known = np.flatnonzero(~np.isnan(g))
-        d = np.full(len(y), np.nan)
-        if len(known):
-            step = max(1, 4_000_000 // len(known))
-            for at in range(0, len(y), step):
-                span = (y[at : at + step, None] - y[None, known]) ** 2 + g[None, known] ** 2
-                d[at : at + step] = np.sqrt(span.min(1))
-        out = rows[[image, "y", "x"]].copy()
-        out["d"] = d
-        return out
+        d = np.sqrt(lower_envelope(y[known], g[known] ** 2, y)) if len(known) else np.full(len(y), np.nan)
+        return rows[[image, "y", "x"]].assign(d=d)[rows["own"]]
 
+    first = pixels.join(ends, image).groupBy(image, "y").applyInPandas(row, f"`{image}` {kind}, y bigint, x bigint, g double, own boolean")
     found = first.groupBy(image, "x").applyInPandas(column, f"`{image}` {kind}, y bigint, x bigint, d double")
     return found.withColumn("d", F.when(~F.isnan("d"), F.round("d", 6)))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from slideloom.operators import compare, graph, hist, labels, morph, qc, report, score
+from slideloom.operators import compare, graph, hist, labels, morph, qc, report, score, tissue
 from slideloom.session import table
 
 SIDE = 256
@@ -112,6 +112,16 @@ def analysis_mask(spark: SparkSession, folder: str) -> DataFrame:
     return qc.analysis_mask(tissue, excluded, boxes, ["img"])
 
 
+def tissue_mask(spark: SparkSession, folder: str) -> DataFrame:
+    """Pixels of tissue by channel 0."""
+    return tissue.tissue_mask(pixels(spark, folder).where("c = 0"), 2.0, 60, 40, SIDE, SIDE)[0]
+
+
+def tissue_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    """The smoothed value from which channel 0 counts as tissue."""
+    return tissue.tissue_mask(pixels(spark, folder).where("c = 0"), 2.0, 60, 40, SIDE, SIDE)[1]
+
+
 def region_properties(spark: SparkSession, folder: str) -> DataFrame:
     px = pixels(spark, folder).where("label <> 0").select("img", "label", "y", "x").distinct()
     return qc.region_properties(px, ["img", "label"], 0.5).select("img", "label", "area_mm2", "centroid_x_um", "centroid_y_um", F.concat_ws(",", "bbox_um").alias("bbox_um"))
@@ -305,7 +315,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         channel_histogram, channel_percentiles, channel_qc_flags, tile_robust_z, tile_kinds, tile_flags, flagged_channels, worst_tiles_topk, tile_focus, nodata_pixels,
-        analysis_mask, region_properties, pooled_display_range, membrane_composite, downsample_mean, otsu_threshold, label_spans, label_stats, span_label_overlap,
+        analysis_mask, tissue_mask, tissue_threshold, region_properties, pooled_display_range, membrane_composite, downsample_mean, otsu_threshold, label_spans, label_stats, span_label_overlap,
         label_overlap_iou, border_labels_dropped, relabel_dense, cells_in_mask, roi_cut_cells, dilated_labels, expanded_labels, components, small_objects_removed,
         filled_holes, nested_folded, distance_to_background, watershed_cells, predicted_objects, dense_label_tiles, raster_check, f1_sweep, score_outlines,
         outline_summary, noise_floor, worst_agreement_squares, compare_methods, method_area_ratio, method_summary, order_groups,
@@ -430,6 +440,10 @@ SQL = {
         rc(id, root) using key (id) as (select id, id from (select distinct a as id from e)
           union select e.b, min(r.root) from rc r join e on e.a = r.id join recurring.rc u on u.id = e.b where r.root < u.root group by e.b)
         select root, count(*) as n from rc group by 1""",
+    "distance_to_background": f"""with {PX}, m as (select img, y, x, max(v) > 20000 as inside from px group by 1, 2, 3),
+        g as (select i.img, y, x, case when m.inside = false then x end as o from (select distinct img from m) i cross join range(256) a(y) cross join range(256) b(x) left join m using (img, y, x)),
+        w as (select img, y, x, least(coalesce(x - max(o) over (partition by img, y order by x), 9999), coalesce(min(o) over (partition by img, y order by x desc) - x, 9999)) as g from g)
+        select m.img, m.y, m.x, round(sqrt(min((m.y - w.y) ** 2 + w.g ** 2)), 6) as d from m join w on w.img = m.img and w.x = m.x group by 1, 2, 3""",
     "worst_agreement_squares": f"""with {PX}, wa as (select distinct img, y, x, (y // 16) * 20 + x // 16 + 1 as label from px), wb as (select distinct img, y, x, ((y + 3) // 16) * 20 + (x + 3) // 16 + 1 as label from px),
         sa as (select img, label, count(*) as n, round(avg(y), 6) as cy, round(avg(x), 6) as cx from wa group by 1, 2), sb as (select img, label, count(*) as m from wb group by 1, 2),
         sh as (select img, label, count(*) as k from wa join wb using (img, y, x, label) group by 1, 2),
