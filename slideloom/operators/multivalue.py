@@ -111,10 +111,11 @@ def split_values(rows: DataFrame, key: str, field: str, value: str) -> DataFrame
     few = (size or 0) <= BROADCAST_BYTES
     joined = masked.join(F.broadcast(rules) if few else rules, "skeleton")
     signs = F.regexp_extract_all("_field", F.lit(f"([^{_CLASS}]+|[{_CLASS}])"), F.lit(1))
-    cut = joined.select("_key", "rule", signs.alias("_signs"))
+    # Signs and rule are bound once per field; a column in the inner lambda would be worked out per value.
+    bound = F.array(F.struct(signs.alias("signs"), F.col("rule").alias("rule")))
 
-    def text(rule: Column) -> Column:
-        raw = F.array_join(F.slice("_signs", rule["start"] + 1, rule["length"]), "")
+    def text(signs: Column, rule: Column) -> Column:
+        raw = F.array_join(F.slice(signs, rule["start"] + 1, rule["length"]), "")
         plain = (
             F.when(rule["escape"] == "doubled", F.replace(raw, F.lit('""'), F.lit('"')))
             .when(rule["escape"] == "backslash", F.regexp_replace(raw, r"\\(.)", "$1"))
@@ -122,8 +123,9 @@ def split_values(rows: DataFrame, key: str, field: str, value: str) -> DataFrame
         )
         return strip(plain)
 
-    values = F.filter(F.transform("rule", text), lambda x: x != "")
-    placed = cut.select("_key", F.posexplode(values).alias("_pos", "_value"))
+    values = F.flatten(F.transform(bound, lambda b: F.transform(b["rule"], lambda r: text(b["signs"], r))))
+    values = F.filter(values, lambda x: x != "")
+    placed = joined.select("_key", F.posexplode(values).alias("_pos", "_value"))
     return placed.select(
         F.col("_key").alias(key), (F.col("_pos") + 1).cast("int").alias("position"), F.col("_value").alias(value)
     )

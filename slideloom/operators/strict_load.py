@@ -27,46 +27,39 @@ _SIGN, _KEPT, _BORDER = "\x01", "\x01a", "\x01b"
 
 
 def _pieces(record: Column) -> Column:
-    """The record, a last carriage return left off, cut at every double quote.
+    """The record between two commas, a last carriage return left off, cut at every double quote.
 
-    Pieces at even places lie outside quotes, those at odd places inside.
+    Pieces at even places lie outside quotes, those at odd places inside. With the commas a
+    field's ends look alike everywhere.
     """
     whole = F.coalesce(record, F.lit(""))
     whole = F.when(whole.endswith("\r"), whole.substr(F.lit(1), F.length(whole) - 1)).otherwise(whole)
-    return F.split(F.replace(whole, F.lit(_SIGN), F.lit(_KEPT)), '"', -1)
+    return F.split(F.concat(F.lit(","), F.replace(whole, F.lit(_SIGN), F.lit(_KEPT)), F.lit(",")), '"', -1)
 
 
 def _well_quoted(pieces: Column) -> Column:
-    """Whether every quote encloses a whole field or is doubled inside one."""
-    last = F.size(pieces) - 1
+    """Whether every quote encloses a whole field or is doubled inside one.
+
+    The lambda names no column: one would be worked out anew for each piece.
+    """
 
     def fits(piece: Column, i: Column) -> Column:
-        opens = (piece == "") | piece.endswith(",")
-        closes = (piece == "") | piece.startswith(",")
-        outside = (
-            F.when(last == 0, F.lit(True))
-            .when(i == 0, opens)
-            .when(i == last, closes)
-            .otherwise(opens & closes)
-        )
-        return (i % 2 == 1) | outside
+        return (i % 2 == 1) | (piece == "") | (piece.startswith(",") & piece.endswith(","))
 
-    placed = F.transform(pieces, fits)
-    return (last % 2 == 0) & F.forall(placed, lambda x: x)
+    return (F.size(pieces) % 2 == 1) & F.forall(F.transform(pieces, fits), lambda x: x)
 
 
 def _fields(pieces: Column) -> Column:
-    """The fields of a well quoted record, in order, quotes and their doubling resolved."""
-    last = F.size(pieces) - 1
+    """The fields of a well quoted record, enclosing quotes left off and doubled ones made single."""
 
     def text(piece: Column, i: Column) -> Column:
-        outside = F.when((piece == "") & (i > 0) & (i < last), F.lit('"')).otherwise(
-            F.replace(piece, F.lit(","), F.lit(_BORDER))
-        )
+        outside = F.when(piece == "", F.lit('"')).otherwise(F.replace(piece, F.lit(","), F.lit(_BORDER)))
         return F.when(i % 2 == 1, piece).otherwise(outside)
 
     joined = F.array_join(F.transform(pieces, text), "")
-    return F.transform(F.split(joined, _BORDER, -1), lambda x: F.replace(x, F.lit(_KEPT), F.lit(_SIGN)))
+    # Without the borders that stand for the commas around the record.
+    inner = F.substring(joined, F.lit(len(_BORDER) + 1), F.length(joined) - 2 * len(_BORDER))
+    return F.transform(F.split(inner, _BORDER, -1), lambda x: F.replace(x, F.lit(_KEPT), F.lit(_SIGN)))
 
 
 def _named(name: str) -> Column:
