@@ -23,7 +23,8 @@ def _along(values: DataFrame, line: str, axis: str, sigma: float, length: int) -
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         whole = np.zeros(length)
         whole[rows[axis]] = rows["s"]
-        out = pd.DataFrame({axis: np.arange(length), "s": np.convolve(np.pad(whole, radius, mode="edge"), kernel, mode="valid")})
+        wide = np.pad(whole, radius, mode="edge")
+        out = pd.DataFrame({axis: np.arange(length), "s": sum(w * wide[k : k + length] for k, w in enumerate(kernel))})
         return out.assign(img=rows["img"].iloc[0], **{line: int(rows[line].iloc[0])})[["img", "y", "x", "s"]]
 
     return values.groupBy("img", line).applyInPandas(run, f"img {kind}, y bigint, x bigint, s double")

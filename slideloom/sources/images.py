@@ -168,3 +168,21 @@ def pixel_size(override: Column, ome_xml: Column, vendor_xml: Column, resolution
     tag = F.when(unit == "cm", F.try_divide(F.lit(1e4), resolution)).when((unit == "inch") & ~resolution.isin(72, 96, 300), F.try_divide(F.lit(25400.0), resolution))
     source = F.when(override.isNotNull(), "override").when(ome.isNotNull(), "ome").when(vendor.isNotNull(), "vendor").when(tag.isNotNull(), "tag").otherwise("not found")
     return F.struct(F.coalesce(override, ome, vendor, tag).alias("um"), source.alias("source"))
+
+
+def axis_order(axes: Column) -> Column:
+    """Where channels, rows and columns stand among the axes of an image, from 0.
+
+    Planes, samples and other sequences count as channels; an image of rows and columns only
+    has one channel, at -1. Any other axes are an error.
+    """
+    named = F.translate(F.upper(axes), "ISQ", "CCC")
+    at = F.transform(F.array(*map(F.lit, "CYX")), lambda a: F.position(a, named) - 1)
+    wrong = F.raise_error(F.concat(F.lit("no image of channels, rows and columns: "), F.coalesce(axes, F.lit("NULL"))))
+    whole = F.array_join(F.array_sort(F.split(named, "")), "") == "CXY"
+    return F.when((named == "YX") | whole, at).otherwise(wrong.cast("array<int>"))
+
+
+def level_factor(height: Column, level_height: Column) -> Column:
+    """How many rows of the full image one row of a level stands for."""
+    return height / level_height

@@ -59,6 +59,14 @@ def test_tiff_tiles(spark, tmp_path, order, deflate):
     assert {k[1]: m for k, m in h.items() if k[0] == 1} == dict(zip(v.tolist(), n.tolist()))
 
 
+def test_axes(spark):
+    given = spark.createDataFrame([("CYX",), ("yxs",), ("IYX",), ("YX",), ("XYQ",)], "axes string")
+    assert [r[0] for r in given.select(I.axis_order(F.col("axes"))).collect()] == [[0, 1, 2], [2, 0, 1], [0, 1, 2], [-1, 0, 1], [2, 1, 0]]
+    for wrong in ("ZYX", "CCYX", "Y", None):
+        with pytest.raises(Exception, match="no image of channels"):
+            spark.createDataFrame([(wrong,)], "axes string").select(I.axis_order(F.col("axes"))).collect()
+
+
 def test_metadata(spark):
     df = spark.createDataFrame([
         (["x", "y"], None, None, 2), (["x"], "<a><Biomarker>CD3</Biomarker><Biomarker>CD8</Biomarker></a>", None, 2), (None, "<a><Biomarker>CD3</Biomarker><Biomarker> </Biomarker></a>", '<OME><Channel Name="p"/><Channel Name="q"/></OME>', 2), (None, None, None, 2),
