@@ -51,12 +51,13 @@ def interior(points: DataFrame, margin: float, height: float, width: float) -> D
 def in_windows(points: DataFrame, windows: DataFrame, bin_size: int = 512, keys: Sequence[str] = ("img",)) -> DataFrame:
     """(keys, id, window_id): points inside windows (window_id, y0, x0, y1, x1), ends left out.
 
-    Windows are laid out on bins, where they meet only points near them.
+    Windows are laid out on bins, where they meet only points near them. They are never broadcast:
+    Spark's estimate doesn't count the bins of a window, so that it holds them for far smaller than they are.
     """
     bins = lambda a, b: F.sequence(F.floor(F.col(a) / bin_size).cast("bigint"), F.floor(F.col(b) / bin_size).cast("bigint"))
     laid = windows.where("y1 > y0 and x1 > x0").withColumn("_by", F.explode(bins("y0", "y1"))).withColumn("_bx", F.explode(bins("x0", "x1")))
     here = points.withColumn("_by", F.floor(F.col("y") / bin_size).cast("bigint")).withColumn("_bx", F.floor(F.col("x") / bin_size).cast("bigint"))
-    met = here.select(*keys, "id", "x", "y", "_by", "_bx").join(laid, [*keys, "_by", "_bx"])
+    met = here.select(*keys, "id", "x", "y", "_by", "_bx").join(laid.hint("merge"), [*keys, "_by", "_bx"])
     return met.where("y >= y0 and y < y1 and x >= x0 and x < x1").select(*keys, "id", "window_id")
 
 

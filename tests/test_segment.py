@@ -32,6 +32,16 @@ def test_points_in_windows(spark):
     assert got == {(k, n) for _, k, x, y in pts for _, n, a, b, c, d in win if a <= y < b and c <= x < d}
 
 
+def test_windows_on_many_bins_are_not_broadcast(spark):
+    """Two windows of a million bins each, which an estimate holds for two rows."""
+    pts = spark.createDataFrame([(1, 0, 3.5, 4.0), (1, 1, 1000.0, 2.0), (2, 2, 0.0, 0.0)], POINTS)
+    win = spark.range(1, 3).selectExpr("cast(id as int) as img", "'w' as window_id", "0 as y0", "0 as x0", "1000 as y1", "1000 as x1")
+    got = G.in_windows(pts, win, 1)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(1, 0, "w"), (2, 2, "w")]
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_last_run(spark):
     df = spark.createDataFrame([("a", n) for n in (1, 2, 5, 6, 7, 7)] + [("b", 3)], "k string, n int")
     assert sorted(map(tuple, G.last_runs(df, ["k"], "n").collect())) == [("a", 5, 7), ("b", 3, 3)]
