@@ -6,6 +6,8 @@ label 0 and is dropped first. (D2, A7, A23, J6, J7, J9, J10, J23, J24, P7, P8, P
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slideloom.operators.graph import components
@@ -14,6 +16,8 @@ from slideloom.session import checkpointed
 
 #: Width of the bins on which spans of a row meet.
 BIN = 256
+#: Side of the tiles in which spans are joined to pieces by one task.
+TILE = 512
 
 
 def spans(pixels: DataFrame, label: str = "label") -> DataFrame:
@@ -140,24 +144,72 @@ def foreground_components(mask: DataFrame, diagonal: bool = True) -> DataFrame:
 
 
 def span_components(runs: DataFrame, diagonal: bool = True) -> DataFrame:
-    """(img, y, x0, x1, label): connected pieces of spans, numbered by first pixel (R2).
+    """(img, y, x0, x1, label): connected pieces of the spans of a mask, numbered by first pixel (R2).
 
-    The graph has spans as nodes and joins those of adjacent rows that touch; with
-    ``diagonal`` corners touch too.
+    With ``diagonal`` corners touch too. Spans are cut at tiles and joined within each tile by one
+    task; only the groups that touch over a tile's border go on as a graph, so that rounds of joins
+    depend on tiles, not on how far pieces wind within them.
     """
-    # A span is named by its place.
-    named = checkpointed(runs.select("img", "y", "x0", "x1", F.struct("img", "y", "x0").alias("id")))
-    wide = 1 if diagonal else 0
-    p = named.withColumn("label", F.col("id")).withColumn("x1", F.col("x1") + wide)
-    q = named.withColumn("label", F.col("id")).withColumn("y", F.col("y") - 1).withColumn("x1", F.col("x1") + wide)
-    edges = overlap(p, q).select("a", "b")
-    roots = components(named.select("id"), edges)
-    rooted = named.join(roots, "id")
-    order = roots.select("root", F.col("root.img").alias("img")).distinct()
+    kind = runs.schema["img"].dataType.simpleString()
+    tile_of = lambda c: F.floor(F.col(c) / TILE).cast("bigint")
+    cut = runs.select("img", *[F.col(c).cast("bigint").alias(c) for c in ("y", "x0", "x1")]).withColumn("ty", tile_of("y"))
+    cut = cut.withColumn("tx", F.explode(F.sequence(tile_of("x0"), F.floor((F.col("x1") - 1) / TILE).cast("bigint"))))
+    cut = cut.withColumn("p0", F.greatest("x0", F.col("tx") * TILE)).withColumn("p1", F.least("x1", (F.col("tx") + 1) * TILE))
+
+    def joined(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["y", "p0"], ignore_index=True)
+        y, p0, p1 = (rows[c].to_numpy() for c in ("y", "p0", "p1"))
+        root = touching(y, p0, p1, diagonal)
+        return rows[["img", "y", "x0", "x1", "p0", "p1"]].assign(ry=y[root], rx=p0[root])
+
+    found = cut.groupBy("img", "ty", "tx").applyInPandas(joined, f"img {kind}, y bigint, x0 bigint, x1 bigint, p0 bigint, p1 bigint, ry bigint, rx bigint")
+    # A group is named by its first place, which is the start of a span or of a part of one.
+    parts = checkpointed(found.select("img", "y", "x0", "x1", "p0", "p1", F.struct("img", F.col("ry").alias("y"), F.col("rx").alias("x0")).alias("own")))
+    links = checkpointed(_over_borders(parts, diagonal))
+    nodes = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
+    merged = components(nodes, links).withColumnRenamed("id", "own")
+    rooted = parts.where("p0 = x0").join(merged, "own", "left").withColumn("root", F.coalesce("root", "own"))
+    order = rooted.select("root", F.col("root.img").alias("img")).distinct()
     order = order.withColumn("label", F.row_number().over(Window.partitionBy("img").orderBy("root"))).drop("img")
     return rooted.join(order, "root").select("img", "y", "x0", "x1", "label")
 
 
+def touching(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, diagonal: bool) -> np.ndarray:
+    """The first span that each of one tile's spans is connected with; spans are sorted by row and start, and don't overlap."""
+    wide = int(diagonal)
+    x0, x1 = x0 - x0.min() + 1, x1 - x0.min() + 1
+    row = (y - y.min()) * (x1.max() + 2)
+    below = row + x1.max() + 2
+    first = np.searchsorted(row + x1, below + x0 - wide, side="right")
+    n = np.maximum(np.searchsorted(row + x0, below + x1 + wide, side="left") - first, 0)
+    a = np.repeat(np.arange(len(y)), n)
+    b = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    root = np.arange(len(y))
+    while True:  # roots with a smaller neighbour take the smallest, and paths are shortened to their end
+        ra, rb = root[a], root[b]
+        open_ = ra != rb
+        if not open_.any():
+            return root
+        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while (further := root[root]).tolist() != root.tolist():
+            root = further
+
+
+def _over_borders(parts: DataFrame, diagonal: bool) -> DataFrame:
+    """(a, b): groups of different tiles that touch, found from the pixels along the tiles' borders."""
+    first, last = F.pmod("p0", F.lit(TILE)) == 0, F.pmod("p1", F.lit(TILE)) == 0
+    along = F.pmod("y", F.lit(TILE)).isin(0, TILE - 1)
+    none = F.array().cast("array<bigint>")
+    ends = F.concat(F.when(first, F.array("p0")).otherwise(none), F.when(last, F.array(F.col("p1") - 1)).otherwise(none))
+    rim = parts.select("img", "y", F.explode(F.when(along, F.sequence("p0", F.col("p1") - 1)).otherwise(ends)).alias("x"), "own")
+    steps = [(0, 1), (1, 0)] + [(1, 1), (1, -1)] * diagonal
+    to = rim.withColumn("_step", F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in steps])))
+    to = to.select("img", (F.col("y") + F.col("_step.dy")).alias("y"), (F.col("x") + F.col("_step.dx")).alias("x"), F.col("own").alias("a"), F.col("y").alias("_y"), F.col("x").alias("_x"))
+    other = " or ".join(f"floor({c} / {TILE}) <> floor(_{c} / {TILE})" for c in ("y", "x"))
+    return to.where(other).join(rim.withColumnRenamed("own", "b"), ["img", "y", "x"]).select("a", "b").distinct()
+
+
 def background(runs: DataFrame, height: int, width: int) -> DataFrame:
     """The spans between the spans of images of one size, rows without any included."""
     rows = runs.select("img").distinct().withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1)))).withColumn("y", F.col("y").cast("bigint"))

@@ -173,3 +173,35 @@ def test_polygons_fill_pixels(spark):
     own = {(r.y, r.x): r.shape_id for r in painted(filled(shapes, 1.0, "o", False), "o").collect()}
     cleared = {(r.y, r.x): r.shape_id for r in painted(filled(shapes, 1.0, "o", True), "o", "ring").collect()}
     assert own[4, 4] == 1 and (4, 4) not in cleared and own[6, 8] == cleared[6, 8] == 2 and own[0, 0] == 1 and (8, 8) not in own
+
+
+def winding(side):
+    """A single path of pixels that fills a square back and forth, and a dot."""
+    a = np.zeros((side, side + 2), bool)
+    a[::2, :side] = True
+    for k, y in enumerate(range(1, side - 1, 2)):
+        a[y, side - 1 if k % 2 == 0 else 0] = True
+    a[0, side + 1] = True
+    return a
+
+
+@pytest.mark.parametrize("diagonal", [True, False])
+@pytest.mark.parametrize("tile", [4, 7, 512])
+def test_pieces_do_not_depend_on_tiles(spark, monkeypatch, diagonal, tile):
+    monkeypatch.setattr(L, "TILE", tile)
+    mask = np.random.default_rng(5).random((19, 26)) < 0.5
+    out = np.zeros(mask.shape, int)
+    for r in L.pixels_of(L.foreground_components(raster(spark, mask.astype(int)).where("label = 1").select("img", "y", "x"), diagonal)).collect():
+        out[r.y, r.x] = r.label
+    assert (out == pieces(mask, diagonal)).all()
+
+
+def test_a_winding_piece_takes_no_rounds_of_joins(spark):
+    mask = winding(61)
+    df = raster(spark, mask.astype(int)).where("label = 1").select("img", "y", "x")
+    spark.sparkContext.setJobGroup("winding", "")
+    got = {(r.label, r.n) for r in L.label_stats(L.foreground_components(df)).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("winding"))
+    spark.sparkContext.setJobGroup("none", "")
+    assert got == {(1, int(mask.sum()) - 1), (2, 1)}
+    assert jobs <= 25
