@@ -205,3 +205,14 @@ def test_a_winding_piece_takes_no_rounds_of_joins(spark):
     spark.sparkContext.setJobGroup("none", "")
     assert got == {(1, int(mask.sum()) - 1), (2, 1)}
     assert jobs <= 25
+
+
+def test_small_pieces_beside_a_winding_one(spark):
+    mask = winding(61)
+    df = raster(spark, mask.astype(int)).where("label = 1").select("img", "y", "x")
+    spark.sparkContext.setJobGroup("small", "")
+    got = [(r.y, r.x0, r.x1) for r in L.without_small(df, 4).collect()]
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("small"))
+    spark.sparkContext.setJobGroup("none", "")
+    assert sum(b - a for _, a, b in got) == int(mask.sum()) - 1 and (0, 62, 63) not in {(y, a, b) for y, a, b in got}
+    assert jobs <= 30
