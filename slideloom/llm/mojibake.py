@@ -6,8 +6,8 @@ the shortest description - compressed bytes, plus the cost of the chain and of s
 language uses - is chosen. Where no chain is shorter than the text as it is, the text stays
 unchanged.
 
-The dictionaries and alphabets are trained on a bounded sample of labelled texts
-(``SAMPLE_TEXTS`` per language); everything else is done per text, wherever it lies.
+Words, signs and dictionaries are learnt from all labelled texts, counted where they lie; everything
+else is done per text.
 """
 
 from __future__ import annotations
@@ -17,45 +17,51 @@ import html
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
+import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from slideloom.functions.text import strip
-from slideloom.session import spread
+from slideloom.session import checkpointed, spread
 
-#: Texts per language, languages and characters per text of the training sample; bytes of a dictionary.
-SAMPLE_TEXTS = 600
-SAMPLE_LANGUAGES = 24
-SAMPLE_CHARS = 2000
 DICTIONARY_BYTES = 65_536
+#: Characters of the texts that a task trains a dictionary on, about; dictionaries that are then made one at a time.
+BUCKET_CHARS = 1_000_000
+MERGED = 16
+#: Texts that a language has at least to be learnt.
+LEAST_TEXTS = 8
+#: Share of a language's texts in which a sign, a pair or a word has to stand; rarer ones may be those of garbled texts.
+LEARNT_SHARE = 1 / 600
+#: Counts that a task holds before it hands them on.
+MOST_COUNTS = 200_000
 LEVEL = 6
 #: Bytes that a chain costs per step, by whether a wrong guess would usually not decode at all.
 STEP_COST = 1.0
 FREE_STEP_COST = 6.0
-#: Bytes that each different word costs that stands in fewer than two texts of the sample.
+#: Bytes that each different word costs that stands in fewer than two texts.
 UNKNOWN_COST = 4.0
 #: Bytes that such a word costs more where it mixes Latin letters with Greek or Cyrillic ones.
 MIXED_COST = 8.0
 #: Bytes of a compressed text at least, and bits of signs that a step has to save which nearly any text passes.
 LEAST_BYTES = 8.0
 LEAST_SAVED = 4.0
-#: Bits of a sign that the sample lacks, and of a pair of signs that it lacks beyond the second sign's own.
+#: Bits of a sign that no text has, and of a pair of signs that none has beyond the second sign's own.
 NEW_SIGN_BITS = 20.0
 NEW_PAIR_BITS = 4.0
-#: Bytes that each sign costs that the language does not use, and that no text of the sample
-#: holds; texts of the sample, and share of a language's texts, that make a sign usual.
+#: Bytes that each sign costs that the language does not use, and that no text
+#: holds; texts, and share of a language's texts, that make a sign usual.
 STRANGE_COST = 4.0
 UNSEEN_COST = 8.0
 USUAL_TEXTS = 3
 USUAL_SHARE = 0.01
 #: Bytes that a stretch in another language than its text's costs.
 SWITCH_COST = 3.0
-#: Share of the sample below which a word may be one that was wrongly decoded.
+#: Share of the texts below which a word may be one that was wrongly decoded.
 RARE_SHARE = 0.005
 #: Characters of a stretch, about; work per stretch may grow faster than its length.
 STRETCH_CHARS = 400
@@ -152,7 +158,7 @@ def _written(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionaries per language, usual signs, in how many sample texts a word stands, and bits of signs.
+    """Dictionaries per language, usual signs, in how many texts a word stands, and bits of signs.
 
     ``signs`` and ``pairs`` hold, of a sign and of a sign after another one, the bits it takes
     in the language that uses it most.
@@ -332,7 +338,7 @@ def restored(text: str, measure: _Measure) -> tuple[str, bool]:
 
 
 def _clean(text: str) -> bool:
-    """Whether a sample text shows no sign of a wrong decoding that would decode."""
+    """Whether a text shows no sign of a wrong decoding that would decode."""
     if _LOST.search(text) or "\x85" in text:
         return False
     return not any(_PAIRS[k][1] == "utf-8" and _PAIRS[k][0] != "cp932" for word in _MARKED.findall(text) for k, _ in _readings(word))
@@ -344,65 +350,181 @@ def _suspect(words: Counter[str], written: Counter[str], texts: int) -> set[str]
     return {w for w, n in written.items() if n <= rare and any(words.get(v, 0) > 5 * n and len(v) > 3 for _, new in _readings(w) for v in _words(new))}
 
 
+_COUNTS = "kind string, lang string, key string, n bigint"
+
+
+def _counted(texts: DataFrame, tally: Callable[[Counter, str, str], None]) -> DataFrame:
+    """(kind, lang, key, n): what ``tally`` counts of all texts (_lang, _text); tasks add up before rows meet."""
+
+    def frame(counts: Counter[tuple[str, str, str]]) -> pd.DataFrame:
+        return pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["kind", "lang", "key", "n"])
+
+    def batches(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[tuple[str, str, str]] = Counter()
+        for batch in rows:
+            for lang, text in zip(batch["_lang"], batch["_text"]):
+                tally(counts, lang, text)
+                if len(counts) > MOST_COUNTS:
+                    yield frame(counts)
+                    counts.clear()
+        yield frame(counts)
+
+    return texts.mapInPandas(batches, _COUNTS).groupBy("kind", "lang", "key").agg(F.sum("n").alias("n"))
+
+
+def _tally_words(counts: Counter, lang: str, text: str) -> None:
+    """Of clean texts: in how many a word stands, in lower case and as written."""
+    if _clean(text):
+        counts["text", "", ""] += 1
+        counts.update(("word", "", w) for w in _words(text))
+        counts.update(("written", "", w) for w in set(_written(text)))
+
+
+def _tally(counts: Counter, lang: str, text: str) -> None:
+    """Of a text that is learnt from: in how many a word or sign stands, and how often signs and pairs of signs do."""
+    counts["text", lang, ""] += 1
+    counts["chars", lang, ""] += len(text)
+    counts.update(("word", lang, w) for w in _words(text))
+    counts.update(("sign", lang, c) for c in set(text) if c > "\x7f")
+    for case, own in (("", text), ("upper ", text.upper())):
+        padded = f" {_ZERO.sub('0', own)} "
+        for one, n in Counter(padded[1:]).items():
+            counts[case + "one", lang, one] += n
+        for two, n in Counter(map("".join, zip(padded, padded[1:]))).items():
+            counts[case + "two", lang, two] += n
+
+
+def _own(text: str, suspect: set[str]) -> bool:
+    return _clean(text) and suspect.isdisjoint(_written(text))
+
+
+def _readings_of(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in rows:
+        found = [(w, n, v) for w, n in zip(batch["key"], batch["n"]) for _, new in _readings(w) for v in _words(new) if len(v) > 3]
+        yield pd.DataFrame(found, columns=["written", "k", "key"])
+
+
 def train(documents: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id") -> Model:
-    """The model of a bounded sample: SAMPLE_TEXTS texts of each of the most frequent languages.
+    """The model of all labelled texts.
 
-    Labels are trimmed and compared without case; texts without a label, and texts that would
-    decode as a wrong decoding of UTF-8, are not learnt from. The sample is the same on each
-    run. Only its texts come to the driver.
+    Labels are trimmed and compared without case; texts without a label, those of at most 20 signs, and
+    texts that would decode as a wrong decoding of UTF-8, are not learnt from. To the driver come
+    counts of signs, words of two texts or more, suspect words and a dictionary per language.
     """
     label = F.split(F.lower(strip(F.col(language))), "[-_]")[0]
-    labelled = documents.select(F.col(key).alias("_key"), label.alias("_lang")).where(~F.col("_lang").isin("", *NO_LANGUAGE))
-    counted = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(SAMPLE_LANGUAGES)
-    named = labelled.join(F.broadcast(counted.select("_lang")), "_lang")
-    # Each partition keeps its first texts by hash before they meet, so that no language gathers.
-    nth = F.row_number().over(Window.partitionBy("_lang").orderBy(F.xxhash64("_key"), "_key"))
-    picks = named.withColumn("_nth", nth).where(F.col("_nth") <= SAMPLE_TEXTS).drop("_nth")
-    texts = documents.select(F.col(key).alias("_key"), F.substring(F.col(text), 1, SAMPLE_CHARS).alias("_text"))
-    sample = texts.join(F.broadcast(picks), "_key").where(F.length("_text") > 20).dropDuplicates(["_key"]).orderBy("_key").collect()
-    by_language: dict[str, list[str]] = {}
-    for row in sample:
-        if row["_text"] and _clean(row["_text"]):
-            by_language.setdefault(row["_lang"], []).append(row["_text"])
-    return fit(by_language)
+    labelled = documents.select(F.col(key).alias("_key"), label.alias("_lang"), F.col(text).alias("_text"))
+    texts = labelled.where(~F.col("_lang").isin("", *NO_LANGUAGE) & (F.length("_text") > 20)).distinct().select("_lang", "_text")
+    counted = checkpointed(_counted(texts, _tally_words))
+    total = sum(r["n"] for r in counted.where("kind = 'text'").collect())
+    rare = counted.where((F.col("kind") == "written") & (F.col("n") <= max(USUAL_TEXTS, RARE_SHARE * total))).select("key", "n")
+    words = counted.where("kind = 'word'").select("key", "n")
+    turned = rare.mapInPandas(_readings_of, "written string, k bigint, key string").join(words, "key").where("n > 5 * k")
+    suspect = {r["written"] for r in turned.select("written").distinct().collect()}
+    shared = documents.sparkSession.sparkContext.broadcast(suspect)
+
+    def kept(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            yield batch[np.array([_own(t, shared.value) for t in batch["_text"]], bool)]
+
+    own = texts.mapInPandas(kept, "_lang string, _text string")
+    tallied = checkpointed(_counted(own, _tally))
+    signs = [tuple(r) for r in tallied.where("kind <> 'word'").collect()]
+    learnt = [lang for kind, lang, _, n in signs if kind == "text" and n >= LEAST_TEXTS]
+    texts_of = {lang: n for kind, lang, _, n in signs if kind == "text"}
+    word_of = tallied.where((F.col("kind") == "word") & F.col("lang").isin(learnt))
+    if learnt:
+        enough = F.create_map(*[F.lit(x) for lang in learnt for x in (lang, LEARNT_SHARE * texts_of[lang])])[F.col("lang")]
+        word_of = word_of.withColumn("usual", F.col("n") >= enough)
+    else:
+        word_of = word_of.withColumn("usual", F.lit(False))
+    known = word_of.groupBy("key").agg(F.sum("n").alias("n"), F.max("usual").alias("usual")).where("n > 1 and usual")
+    chars = {lang: n for kind, lang, _, n in signs if kind == "chars" and lang in learnt}
+    return _model(signs, {r["key"]: r["n"] for r in known.collect()}, _dictionaries(own, chars))
+
+
+def _dictionaries(texts: DataFrame, chars: dict[str, int]) -> dict[str, bytes]:
+    """A dictionary per language, from all of its texts: one per BUCKET_CHARS, of which MERGED at a time are made one."""
+    if not chars:
+        return {}
+    buckets = {lang: -(-n // BUCKET_CHARS) for lang, n in chars.items()}
+    many = F.create_map(*[F.lit(x) for pair in buckets.items() for x in pair])
+
+    def trained(rows: pd.DataFrame) -> pd.DataFrame:
+        pieces = [s.strip().encode("utf-8", "replace") for t in sorted(rows["_text"]) for s in _stretches(t) if s.strip()]
+        return rows[["_lang", "bucket"]].head(1).assign(data=[_dictionary(pieces)])
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("part")
+        if len(rows) > 1:  # a dictionary's tables stand before its strings
+            pieces = [data[k : k + 256] for data in rows["data"] for k in range(256, len(data), 256)]
+            rows = rows.head(1).assign(data=[_dictionary(pieces)])
+        return rows[["_lang", "bucket", "data"]]
+
+    made = texts.where(F.col("_lang").isin(*chars)).withColumn("bucket", F.pmod(F.xxhash64("_text"), many[F.col("_lang")].cast("bigint")))
+    made = made.groupBy("_lang", "bucket").applyInPandas(trained, "_lang string, bucket bigint, data binary")
+    most = max(buckets.values())
+    while most > 1:
+        parts = made.select("_lang", F.col("bucket").alias("part"), F.floor(F.col("bucket") / MERGED).alias("bucket"), "data")
+        made = parts.groupBy("_lang", "bucket").applyInPandas(merged, "_lang string, bucket bigint, data binary")
+        most = -(-most // MERGED)
+    return {r["_lang"]: bytes(r["data"]) for r in made.collect()}
+
+
+def _dictionary(pieces: list[bytes]) -> bytes:
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
+    except zstandard.ZstdError:  # too little to train on: the texts themselves are the dictionary
+        return b"\n".join(pieces)[-DICTIONARY_BYTES:]
 
 
 def fit(by_language: dict[str, list[str]]) -> Model:
-    """The model of sample texts per language; a language of fewer than eight texts is left out.
+    """The model of texts per language that are at hand; a language of fewer than eight texts is left out.
 
     Texts with words that look wrongly decoded beside more frequent words are left out too.
     """
     counts = Counter(w for own in by_language.values() for t in own for w in _words(t).keys())
     written = Counter(w for own in by_language.values() for t in own for w in set(_written(t)))
     suspect = _suspect(counts, written, sum(map(len, by_language.values())))
-    dictionaries, usual, words = {}, {}, Counter()
+    dictionaries, tallied = {}, Counter()
+    for name, texts in by_language.items():
+        own = [t for t in texts if suspect.isdisjoint(_written(t))]
+        if len(own) >= LEAST_TEXTS:
+            for t in own:
+                _tally(tallied, name, t)
+            dictionaries[name] = _dictionary([s.strip().encode("utf-8", "replace") for t in own for s in _stretches(t) if s.strip()])
+    words: Counter[str] = Counter()
+    frequent = set()
+    for (kind, lang, w), n in tallied.items():
+        if kind == "word":
+            words[w] += n
+            if n >= LEARNT_SHARE * tallied["text", lang, ""]:
+                frequent.add(w)
+    return _model([(*k, n) for k, n in tallied.items()], {w: n for w, n in words.items() if n > 1 and w in frequent}, dictionaries)
+
+
+def _model(counts: list[tuple[str, str, str, int]], words: dict[str, int], dictionaries: dict[str, bytes]) -> Model:
+    """The model of counts (kind, language, key, n) as of ``_tally``, for the languages with a dictionary."""
+    of: dict[tuple[str, str], dict[str, int]] = {}
+    for kind, lang, key, n in counts:
+        of.setdefault((kind, lang), {})[key] = n
+    usual: dict[str, frozenset[str]] = {}
     sign_bits: dict[str, float] = {}
     pair_bits: dict[str, float] = {}
-    for name, sample in sorted(by_language.items()):
-        own = [t for t in sample if suspect.isdisjoint(_written(t))]
-        if len(own) < 8:
-            continue
-        signs = Counter(c for t in own for c in set(t) if c > "\x7f")
-        usual[name] = frozenset(c for c, n in signs.items() if n >= max(USUAL_TEXTS, USUAL_SHARE * len(own)))
-        words.update(w for t in own for w in _words(t).keys())
-        pieces = [s.strip().encode("utf-8", "replace") for t in own for s in _stretches(t) if s.strip()]
-        try:
-            dictionaries[name] = zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
-        except zstandard.ZstdError:  # too little to train on: the texts themselves are the dictionary
-            dictionaries[name] = b"\n".join(pieces)[-DICTIONARY_BYTES:]
-        _learn_signs(own, sign_bits, pair_bits)
-        _learn_signs([t.upper() for t in own], sign_bits, pair_bits)
-    return Model(dictionaries, usual, {w: n for w, n in words.items() if n > 1}, sign_bits, pair_bits)
-
-
-def _learn_signs(texts: list[str], sign_bits: dict[str, float], pair_bits: dict[str, float]) -> None:
-    """Lowers the bits of signs, and of signs after another one, to those of a language's texts."""
-    ones: Counter[str] = Counter()
-    twos: Counter[str] = Counter()
-    for text in texts:
-        padded = f" {_ZERO.sub('0', text)} "
-        ones.update(padded[1:])
-        twos.update(map("".join, zip(padded, padded[1:])))
+    for name in sorted(dictionaries):
+        least = max(USUAL_TEXTS, USUAL_SHARE * of["text", name][""])
+        held = of.get(("sign", name), {})
+        usual[name] = frozenset(c for c, n in held.items() if n >= least)
+        enough = LEARNT_SHARE * of["text", name][""]
+        for case in ("", "upper "):
+            ones, twos = of[case + "one", name], of[case + "two", name]
+            signs = {c: n for c, n in ones.items() if c <= "\x7f" or held.get(c, 0) + held.get(c.lower(), 0) >= enough}
+            pairs = {p: n for p, n in twos.items() if p.isascii() or n >= enough and p[1] in signs}
+            _learn_signs(signs, pairs, sign_bits, pair_bits)
+    return Model(dict(sorted(dictionaries.items())), usual, words, sign_bits, pair_bits)
+
+
+def _learn_signs(ones: dict[str, int], twos: dict[str, int], sign_bits: dict[str, float], pair_bits: dict[str, float]) -> None:
+    """Lowers the bits of signs, and of signs after another one, to those of a language's counts."""
     total = sum(ones.values())
     before = Counter()
     for two, n in twos.items():
@@ -419,7 +541,7 @@ def repair(documents: DataFrame, model: Model | None = None, key: str = "doc_id"
 
     A NULL text stays NULL and is not garbled, as an empty one; repeated rows are each
     judged; other columns are ignored; an empty table gives no row. The model is sent to the
-    tasks: at most SAMPLE_LANGUAGES dictionaries of DICTIONARY_BYTES.
+    tasks: a dictionary of DICTIONARY_BYTES per language, signs, and words of two texts or more.
     """
     model = model or train(documents, text=text, key=key)
     shared = documents.sparkSession.sparkContext.broadcast(model)

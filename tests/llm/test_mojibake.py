@@ -108,3 +108,18 @@ def test_over_tables(spark):
     assert {r.doc_id for r in out if r.garbled} == {90_000, 90_003} and len(out) == len(rows)
     assert {r.restored for r in out if r.doc_id == 90_000} == {rows[3][2]}
     assert M.repair(df.limit(0)).count() == 0
+
+
+def test_all_texts_are_learnt_from(spark, monkeypatch):
+    """Words after the 600th text of a language and after its 2,000th sign count, as do the 25th language and on."""
+    texts = sample()["fr"]
+    rows = [(k, "fr", texts[k % len(texts)]) for k in range(700)]
+    rows += [(1000 + k, "fr", "Très bien. " * 250 + "Un mot inouï.") for k in range(2)]
+    rows += [(2000 + 100 * k + i, f"l{k:02}", f"Ĝis la ŝipo numero {i}, ĉiam.") for k in range(26) for i in range(8)]
+    monkeypatch.setattr(M, "BUCKET_CHARS", 20_000)
+    monkeypatch.setattr(M, "MERGED", 2)
+    model = M.train(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    assert model.words["inouï"] == 2 and len(model.dictionaries) == 27
+    own = sum("étanche" in t and M._clean(t) for _, lang, t in rows if lang == "fr")
+    assert own > 0 and model.words["étanche"] == own
+    assert model.dictionaries["fr"] and all(len(d) <= M.DICTIONARY_BYTES for d in model.dictionaries.values())
