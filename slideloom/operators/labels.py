@@ -144,11 +144,23 @@ def foreground_components(mask: DataFrame, diagonal: bool = True) -> DataFrame:
 
 
 def span_components(runs: DataFrame, diagonal: bool = True) -> DataFrame:
-    """(img, y, x0, x1, label): connected pieces of the spans of a mask, numbered by first pixel (R2).
+    """(img, y, x0, x1, label): connected pieces of the spans of a mask, numbered by first pixel (R2)."""
+    return _numbered(span_pieces(runs, diagonal)).select("img", "y", "x0", "x1", "label")
+
+
+def _numbered(rooted: DataFrame) -> DataFrame:
+    """The spans of ``span_pieces`` with a label, their pieces' number within the image."""
+    order = rooted.select("root", F.col("root.img").alias("img")).distinct()
+    order = order.withColumn("label", F.row_number().over(Window.partitionBy("img").orderBy("root"))).drop("img")
+    return rooted.join(order, "root")
+
+
+def span_pieces(runs: DataFrame, diagonal: bool = True) -> DataFrame:
+    """(img, y, x0, x1, root, size): the spans of a mask with the first place and the pixels of their connected piece.
 
     With ``diagonal`` corners touch too. Spans are cut at tiles and joined within each tile by one
-    task; only the groups that touch over a tile's border go on as a graph, so that rounds of joins
-    depend on tiles, not on how far pieces wind within them.
+    task, which also adds up their pixels; only the groups that touch over a tile's border go on as
+    a graph, so that rounds of joins depend on tiles, not on how far pieces wind within them.
     """
     kind = runs.schema["img"].dataType.simpleString()
     tile_of = lambda c: F.floor(F.col(c) / TILE).cast("bigint")
@@ -160,18 +172,22 @@ def span_components(runs: DataFrame, diagonal: bool = True) -> DataFrame:
         rows = rows.sort_values(["y", "p0"], ignore_index=True)
         y, p0, p1 = (rows[c].to_numpy() for c in ("y", "p0", "p1"))
         root = touching(y, p0, p1, diagonal)
-        return rows[["img", "y", "x0", "x1", "p0", "p1"]].assign(ry=y[root], rx=p0[root])
+        n = np.zeros(len(root), np.int64)
+        np.add.at(n, root, p1 - p0)
+        return rows[["img", "y", "x0", "x1", "p0", "p1"]].assign(ry=y[root], rx=p0[root], n=n[root])
 
-    found = cut.groupBy("img", "ty", "tx").applyInPandas(joined, f"img {kind}, y bigint, x0 bigint, x1 bigint, p0 bigint, p1 bigint, ry bigint, rx bigint")
+    found = cut.groupBy("img", "ty", "tx").applyInPandas(joined, f"img {kind}, y bigint, x0 bigint, x1 bigint, p0 bigint, p1 bigint, ry bigint, rx bigint, n bigint")
     # A group is named by its first place, which is the start of a span or of a part of one.
-    parts = checkpointed(found.select("img", "y", "x0", "x1", "p0", "p1", F.struct("img", F.col("ry").alias("y"), F.col("rx").alias("x0")).alias("own")))
+    parts = checkpointed(found.select("img", "y", "x0", "x1", "p0", "p1", F.struct("img", F.col("ry").alias("y"), F.col("rx").alias("x0")).alias("own"), "n"))
     links = checkpointed(_over_borders(parts, diagonal))
+    whole = parts.where("p0 = x0")
+    if links.isEmpty():
+        return whole.select("img", "y", "x0", "x1", F.col("own").alias("root"), F.col("n").alias("size"))
     nodes = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
     merged = components(nodes, links).withColumnRenamed("id", "own")
-    rooted = parts.where("p0 = x0").join(merged, "own", "left").withColumn("root", F.coalesce("root", "own"))
-    order = rooted.select("root", F.col("root.img").alias("img")).distinct()
-    order = order.withColumn("label", F.row_number().over(Window.partitionBy("img").orderBy("root"))).drop("img")
-    return rooted.join(order, "root").select("img", "y", "x0", "x1", "label")
+    sizes = parts.where("y = own.y and p0 = own.x0").join(merged, "own").groupBy("root").agg(F.sum("n").alias("size"))
+    merged = checkpointed(merged.join(sizes, "root"))
+    return whole.join(merged, "own", "left").select("img", "y", "x0", "x1", F.coalesce("root", "own").alias("root"), F.coalesce("size", "n").alias("size"))
 
 
 def touching(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, diagonal: bool) -> np.ndarray:
@@ -223,9 +239,8 @@ def background(runs: DataFrame, height: int, width: int) -> DataFrame:
 
 def without_small(mask: DataFrame, least: int, diagonal: bool = True) -> DataFrame:
     """The spans of pieces of at least ``least`` pixels."""
-    pieces = checkpointed(foreground_components(mask, diagonal))
-    big = pieces.groupBy("img", "label").agg(F.sum(F.col("x1") - F.col("x0")).alias("n")).where(F.col("n") >= least)
-    return pieces.join(big.select("img", "label"), ["img", "label"], "left_semi")
+    pieces = span_pieces(spans(mask.withColumn("label", F.lit(1))), diagonal)
+    return _numbered(pieces).where(F.col("size") >= least).select("img", "label", "y", "x0", "x1")
 
 
 def holes(mask: DataFrame, height: int, width: int, most: int) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 
 from slideloom.operators import graph, labels as L, morph
 from slideloom.operators.regions import filled, painted
+from slideloom.plans import images
 
 
 def raster(spark, a, name="label"):
@@ -216,3 +217,26 @@ def test_small_pieces_beside_a_winding_one(spark):
     spark.sparkContext.setJobGroup("none", "")
     assert sum(b - a for _, a, b in got) == int(mask.sum()) - 1 and (0, 62, 63) not in {(y, a, b) for y, a, b in got}
     assert jobs <= 30
+
+
+@pytest.mark.parametrize("diagonal", [True, False])
+@pytest.mark.parametrize("tile", [4, 7, 512])
+def test_sizes_of_pieces_do_not_depend_on_tiles(spark, monkeypatch, diagonal, tile):
+    monkeypatch.setattr(L, "TILE", tile)
+    mask = np.random.default_rng(6).random((19, 26)) < 0.45
+    n = pieces(mask, diagonal)
+    size, first = np.bincount(n.ravel()), {k: tuple(map(int, np.argwhere(n == k)[0])) for k in range(1, n.max() + 1)}
+    df = raster(spark, mask.astype(int)).where("label = 1")
+    got = L.span_pieces(L.spans(df), diagonal).collect()
+    assert sum(r.x1 - r.x0 for r in got) == mask.sum()
+    assert all(r.size == size[n[r.y, r.x0]] and (r.root.y, r.root.x0) == first[n[r.y, r.x0]] for r in got)
+    kept = {(r.y, x): r.label for r in L.without_small(df.select("img", "y", "x"), 4, diagonal).collect() for x in range(r.x0, r.x1)}
+    assert kept == {(y, x): n[y, x] for y, x in np.argwhere(mask) if size[n[y, x]] >= 4}
+
+
+def test_small_pieces_within_tiles_start_no_graph(spark, folder):
+    spark.sparkContext.setJobGroup("within", "")
+    images.small_objects_removed(spark, folder).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("within"))
+    spark.sparkContext.setJobGroup("none", "")
+    assert jobs <= 12
